@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Every character str.isspace() accepts; Java's \s knows only the ASCII ones.
 SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -23,7 +23,7 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

@@ -7,12 +7,12 @@ filter cannot change its verdict.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxgauge.functions.intent import is_blank, wanted_sentiment
 from voxgauge.operators.knn import label_bits, nearest, wish_bits
-from voxgauge.plans.enrich import filled
-from voxgauge.schema import ASPECTS
+from voxgauge.plans.enrich import NO_RATING, filled
+from voxgauge.schema import ASPECTS, SOURCE_JSON
 
 # Neighbours per question, and the mean distance up to which a question is on topic.
 TOP_K = 5
@@ -91,7 +91,7 @@ def answer(
     judged = asked.join(verdicts, "question_id", "left").withColumn(
         "hits", F.when(F.col("relevant"), F.filter("hits", lambda h: h["filtered"] == F.col("wants")))
     )
-    payload = filled(index).select("review_id", "document", "product_id", "rating", "text_raw")
+    payload = filled(index).select("review_id", "document", "product_id", "source", "rating", "text_raw")
     cited = (
         judged.select("question_id", F.explode("hits").alias("h"))
         .select("question_id", "h.rank", "h.review_id")
@@ -99,7 +99,7 @@ def answer(
         .groupBy("question_id")
         .agg(
             F.sort_array(
-                F.collect_list(F.struct("rank", "product_id", "rating", "text_raw", "document"))
+                F.collect_list(F.struct("rank", "product_id", "rating", "text_raw", "document", "source"))
             ).alias("cited")
         )
     )
@@ -109,9 +109,11 @@ def answer(
         .when(F.size(F.coalesce("hits", F.array())) == 0, "empty_after_filter")
         .otherwise("success")
     )
-    line = lambda c: F.format_string(
-        "[Product %s, rating %s/5] %s", c["product_id"], rating_text(c["rating"]), c["document"]
-    )
+
+    def line(c: Column) -> Column:
+        stars = rating_text(c["rating"], c["source"])
+        return F.format_string("[Product %s, rating %s/5] %s", c["product_id"], stars, c["document"])
+
     return (
         judged.withColumn("status", status)
         .join(cited, "question_id", "left")
@@ -135,11 +137,11 @@ def answer(
     )
 
 
-def rating_text(rating):
-    """A whole rating without its decimal point."""
-    whole = rating == F.floor(rating)
-    return F.when(whole, rating.cast("long").cast("string")).otherwise(rating.cast("string"))
+def rating_text(rating: Column, source: Column) -> Column:
+    """Ratings of JSON reviews keep their decimal point, as loaded; others and the sentinel are whole."""
+    as_loaded = (source == SOURCE_JSON) & (rating != NO_RATING)
+    return F.when(as_loaded, rating.cast("string")).otherwise(rating.cast("long").cast("string"))
 
 
-def prompt():
+def prompt() -> Column:
     return F.concat(F.lit("Context:\n"), F.col("context"), F.lit("\n\nQuestion: "), F.col("question"))

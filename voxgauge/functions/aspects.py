@@ -37,13 +37,12 @@ def with_aspect_texts(df: DataFrame, text: Column, out: str = "aspect_texts") ->
     """
     sentences = F.transform(split_sentences(text), lambda s: F.struct(s.alias("s"), F.lower(s).alias("low")))
     df = df.withColumn("_text", text).withColumn("_sentences", sentences)
-    spoken = [
-        F.transform(
-            F.filter("_sentences", lambda x, a=a: mentions(x["low"], ASPECT_KEYWORDS[a])), lambda x: x["s"]
-        ).alias(a)
-        for a in ASPECTS
-    ]
-    df = df.withColumn("_spoken", F.struct(*spoken))
+
+    def spoken(aspect: str) -> Column:
+        found = F.filter("_sentences", lambda x: mentions(x["low"], ASPECT_KEYWORDS[aspect]))
+        return F.transform(found, lambda x: x["s"]).alias(aspect)
+
+    df = df.withColumn("_spoken", F.struct(*[spoken(a) for a in ASPECTS]))
     silent = reduce(lambda x, y: x & y, [F.size(f"_spoken.{a}") == 0 for a in ASPECTS])
     joined = []
     for a in ASPECTS:

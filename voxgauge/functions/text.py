@@ -187,11 +187,13 @@ def xml_escape(c: Column | str) -> Column:
 
 
 def whole_percent(c: Column | str) -> Column:
-    return F.format_string("%.0f%%", col(c) * 100)
+    """``37%``, halves to even."""
+    return F.format_string("%.0f%%", F.bround(col(c) * 100, 0))
 
 
 def two_decimals(c: Column | str) -> Column:
-    return F.format_string("%.2f", col(c))
+    """``0.12`` for an eighth: halves to even."""
+    return F.format_string("%.2f", F.bround(col(c), 2))
 
 
 def report_text(summary: Column | str, body: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voxgauge import schema
-from voxgauge.catalog.registry import query, table
+from voxgauge.catalog.registry import query, spread, table
 from voxgauge.catalog.texts import SQL_SPACE, sql_decode, sql_strip
 from voxgauge.functions import text as tx
 from voxgauge.operators import upsert as up
@@ -478,7 +478,7 @@ def rating_date_parse(spark: SparkSession, sf: str) -> DataFrame:
     free = F.when(o % 4 == 0, F.date_format(d, "yyyy/MM/dd")).when(o % 4 == 1, F.date_format(d, "M/d/yyyy")).when(
         o % 4 == 2, F.date_format(d, "d MMM yyyy")
     ).otherwise(F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T10:11:12Z")))
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders")).select(
         "o_orderkey",
         tx.leading_digit(leading).alias("leading"),
         tx.truncated_number(F.when(k % 7 == 0, "4 stars").otherwise(decimal)).alias("whole"),

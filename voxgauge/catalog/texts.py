@@ -113,13 +113,12 @@ def sentences(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def aspect_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Sentences and reviews per aspect. Each review counts its own sentences first."""
-    per_review = table(spark, sf, "documents").select(
-        F.explode(
-            F.flatten(F.transform(tx.split_sentences(remarked()), lambda s: asp.detect_aspects(s)))
-        ).alias("aspect"),
-        "doc_id",
-    ).groupBy("doc_id", "aspect").agg(F.count(F.lit(1)).alias("n"))
+    """Sentences and reviews per aspect, counted inside each review first."""
+    spoken = asp.with_aspect_sentences(table(spark, sf, "documents"), remarked())
+    counts = F.array(
+        *[F.struct(F.lit(a).alias("aspect"), F.size(f"aspect_sentences.{a}").alias("n")) for a in ASPECTS]
+    )
+    per_review = spoken.select(F.explode(F.filter(counts, lambda c: c["n"] > 0)).alias("c")).select("c.*")
     return per_review.groupBy("aspect").agg(
         F.sum("n").alias("n_sentences"), F.count(F.lit(1)).alias("n_reviews")
     )
@@ -154,16 +153,13 @@ def aspect_texts(spark: SparkSession, sf: str) -> DataFrame:
 )
 def aspect_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews with an aspect. Those that mention none fall back to the product, so all have one."""
-    spoken = asp.with_aspect_texts(table(spark, sf, "documents"), remarked())
+    docs = table(spark, sf, "documents").withColumn("t", remarked())
+    spoken = asp.with_aspect_sentences(asp.with_aspect_texts(docs, F.col("t")), F.col("t"))
     pairs = [x for a in ASPECTS for x in (F.lit(a), F.col(f"aspect_texts.{a}"))]
-    by_name = spoken.withColumn("aspects", F.create_map(*pairs)).withColumn(
-        "fallback", F.col("aspect_texts.product") == remarked()
-    )
-    silent = F.col("fallback") & (F.size(asp.detect_aspects(remarked())) == 0)
-    return by_name.agg(
+    return spoken.withColumn("aspects", F.create_map(*pairs)).agg(
         F.count(F.lit(1)).alias("n_reviews"),
         F.count_if(F.size(asp.present_aspects("aspects")) > 0).alias("n_detected"),
-        F.count_if(silent).alias("n_fallback"),
+        F.count_if(asp.is_silent()).alias("n_fallback"),
     )
 
 

@@ -19,7 +19,7 @@ ASPECT_KEYWORDS = {
 
 
 def mentions(lowered: Column, keywords: list[str]) -> Column:
-    return lowered.rlike("|".join(keywords))
+    return reduce(lambda x, y: x | y, [lowered.contains(k) for k in keywords])
 
 
 def detect_aspects(sentence: Column | str) -> Column:
@@ -30,25 +30,44 @@ def detect_aspects(sentence: Column | str) -> Column:
     )
 
 
-def with_aspect_texts(df: DataFrame, text: Column, out: str = "aspect_texts") -> DataFrame:
-    """Struct with, per aspect, its sentences joined by one space; null where unmentioned.
+def with_aspect_sentences(df: DataFrame, text: Column, out: str = "aspect_sentences") -> DataFrame:
+    """Struct with, per aspect, the array of its sentences in order.
 
-    A review that mentions no aspect is about the product, with its whole text.
+    The whole text is tested first: only texts that hold a keyword are split, and only for its aspects.
     """
-    sentences = F.transform(split_sentences(text), lambda s: F.struct(s.alias("s"), F.lower(s).alias("low")))
-    df = df.withColumn("_text", text).withColumn("_sentences", sentences)
+    df = df.withColumn("_text", text).withColumn("_low", F.lower("_text"))
+    df = df.withColumns({f"_has_{a}": mentions(F.col("_low"), ASPECT_KEYWORDS[a]) for a in ASPECTS})
+    any_aspect = reduce(lambda x, y: x | y, [F.col(f"_has_{a}") for a in ASPECTS])
+    pairs = F.transform(split_sentences("_text"), lambda s: F.struct(s.alias("s"), F.lower(s).alias("low")))
+    df = df.withColumn("_sentences", F.when(any_aspect, pairs))
 
     def spoken(aspect: str) -> Column:
         found = F.filter("_sentences", lambda x: mentions(x["low"], ASPECT_KEYWORDS[aspect]))
-        return F.transform(found, lambda x: x["s"]).alias(aspect)
+        said = F.transform(found, lambda x: x["s"])
+        none = F.array().cast("array<string>")
+        return F.when(F.col(f"_has_{aspect}"), said).otherwise(none).alias(aspect)
+
+    spare = ["_text", "_low", "_sentences", *[f"_has_{a}" for a in ASPECTS]]
+    return df.withColumn(out, F.struct(*[spoken(a) for a in ASPECTS])).drop(*spare)
+
+
+def is_silent(sentences: str = "aspect_sentences") -> Column:
+    """No aspect at all is mentioned."""
+    return reduce(lambda x, y: x & y, [F.size(f"{sentences}.{a}") == 0 for a in ASPECTS])
 
-    df = df.withColumn("_spoken", F.struct(*[spoken(a) for a in ASPECTS]))
-    silent = reduce(lambda x, y: x & y, [F.size(f"_spoken.{a}") == 0 for a in ASPECTS])
+
+def with_aspect_texts(df: DataFrame, text: Column, out: str = "aspect_texts") -> DataFrame:
+    """Struct with, per aspect, its sentences joined by one space; null where unmentioned.
+
+    A review that mentions no aspect is about the product, with its whole text.
+    """
+    df = with_aspect_sentences(df.withColumn("_whole", text), F.col("_whole"), "_spoken")
     joined = []
     for a in ASPECTS:
         found = F.when(F.size(f"_spoken.{a}") > 0, F.array_join(f"_spoken.{a}", " "))
-        joined.append((F.when(silent, F.col("_text")).otherwise(found) if a == "product" else found).alias(a))
-    return df.withColumn(out, F.struct(*joined)).drop("_text", "_sentences", "_spoken")
+        whole = F.when(is_silent("_spoken"), F.col("_whole")).otherwise(found)
+        joined.append((whole if a == "product" else found).alias(a))
+    return df.withColumn(out, F.struct(*joined)).drop("_whole", "_spoken")
 
 
 def scored_text(c: Column | str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -88,43 +89,82 @@ def truncated_number(c: Column | str) -> Column:
     return plain.try_cast("double").try_cast("long").cast("double")
 
 
+def bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
+def calendar_date(year: Column, month: Column, day: Column) -> Column:
+    """Date of three numbers, null where the calendar has no such day. Raises nothing, unlike a parse."""
+
+    def build(p: Column) -> Column:
+        first = F.when((p["y"] >= 1) & p["m"].between(1, 12), F.make_date(p["y"], p["m"], F.lit(1)))
+        inside = (p["d"] >= 1) & (p["d"] <= F.dayofmonth(F.last_day(first)))
+        return F.when(inside, F.date_add(first, p["d"] - 1))
+
+    return bind(F.struct(year.alias("y"), month.alias("m"), day.alias("d")), build)
+
+
+def _slice_number(c: Column, start: int, length: int) -> Column:
+    return F.substring(c, start, length).try_cast("int")
+
+
+DAY_MONTH_YEAR = r"[0-9]{2}-[0-9]{2}-[0-9]{4}"
+YEAR_MONTH_DAY = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+
+
 def day_month_year(c: Column | str) -> Column:
     """First ``dd-MM-yyyy`` anywhere in the text; impossible dates are null."""
-    found = F.regexp_extract(col(c), r"([0-9]{2}-[0-9]{2}-[0-9]{4})", 1)
-    return F.try_to_date(non_empty(found), "dd-MM-yyyy")
+    found = F.regexp_extract(col(c), DAY_MONTH_YEAR, 0)
+    return bind(
+        found, lambda t: calendar_date(_slice_number(t, 7, 4), _slice_number(t, 4, 2), _slice_number(t, 1, 2))
+    )
+
+
+def _numbers(c: Column) -> Column:
+    return F.transform(F.regexp_extract_all(c, F.lit("[0-9]+"), 0), lambda n: n.try_cast("int"))
 
 
 def year_month_day(c: Column | str) -> Column:
     """The whole trimmed text as ``yyyy-MM-dd``, padded or not."""
-    t = strip(c)
-    return F.when(t.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), F.try_to_date(t, "yyyy-M-d"))
-
-
-# Free-format dates: shape of the text and the format that reads it, month before day where both fit.
-FREE_DATES = (
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
-    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ].*$", None),
-    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"),
-    (r"^[0-9]{8}$", "yyyyMMdd"),
-    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
-    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "d/M/yyyy"),
-    (r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "M-d-yyyy"),
-    (r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "d-M-yyyy"),
-    (r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$", "MMM d, yyyy"),
-    (r"^[A-Za-z]{4,} [0-9]{1,2}, [0-9]{4}$", "MMMM d, yyyy"),
-    (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}$", "d MMM yyyy"),
-    (r"^[0-9]{1,2} [A-Za-z]{4,} [0-9]{4}$", "d MMMM yyyy"),
-)
+
+    def read(t: Column) -> Column:
+        date = bind(_numbers(t), lambda n: calendar_date(F.get(n, 0), F.get(n, 1), F.get(n, 2)))
+        return F.when(t.rlike(YEAR_MONTH_DAY), date)
+
+    return bind(strip(c), read)
+
+
+YEAR_FIRST = r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}([T ].*)?$"
+YEAR_LAST = r"^[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}( .*)?$"
+COMPACT = r"^[0-9]{8}$"
+MONTH_NAMED = r"^([A-Za-z]{3,} [0-9]{1,2},?|[0-9]{1,2} [A-Za-z]{3,}) [0-9]{4}$"
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
 
 def free_date(c: Column | str) -> Column:
-    """Date in one of the usual written forms, else null."""
-    t = strip(c)
-    tries = []
-    for shape, fmt in FREE_DATES:
-        date = F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd") if fmt is None else F.try_to_date(t, fmt)
-        tries.append(F.when(t.rlike(shape), date))
-    return F.coalesce(*tries)
+    """Date in one of the usual written forms, else null. The month comes first where both orders fit."""
+    months = F.array(*[F.lit(m) for m in MONTHS])
+
+    def read(t: Column) -> Column:
+        name = F.lower(F.substring(F.regexp_extract(t, "[A-Za-z]+", 0), 1, 3))
+        month = F.nullif(F.array_position(months, name), F.lit(0)).cast("int")
+
+        def by_shape(n: Column) -> Column:
+            a, b, y = F.get(n, 0), F.get(n, 1), F.get(n, 2)
+            return (
+                F.when(t.rlike(YEAR_FIRST), calendar_date(a, b, y))
+                .when(t.rlike(YEAR_LAST), F.coalesce(calendar_date(y, a, b), calendar_date(y, b, a)))
+                .when(
+                    t.rlike(COMPACT),
+                    calendar_date(_slice_number(t, 1, 4), _slice_number(t, 5, 2), _slice_number(t, 7, 2)),
+                )
+                .when(t.rlike(MONTH_NAMED), calendar_date(b, month, a))
+            )
+
+        return bind(_numbers(t), by_shape)
+
+    return bind(strip(c), read)
 
 
 def epoch_ms_date(c: Column | str) -> Column:

@@ -230,8 +230,8 @@ def brand_join(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("review_id"), "text")
     single = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?U)" + CAPITAL), 0))
     counted = docs.select(F.explode(single).alias("phrase")).groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
-    total = docs.agg(F.count(F.lit(1)).alias("total")).withColumn("one", F.lit(1))
-    phrases = counted.withColumn("one", F.lit(1)).join(F.broadcast(total), "one").where("n * 50 >= total")
+    total = docs.agg(F.count(F.lit(1))).scalar()
+    phrases = counted.where(F.col("n") * 50 >= total)
     found = br.find_brands(docs, phrases.select("phrase"), max_chars=None)
     return found.select(F.col("review_id").alias("doc_id"), F.array_join("brands", ",").alias("brands"))
 

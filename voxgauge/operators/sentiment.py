@@ -29,12 +29,11 @@ def learn_weights(labelled: DataFrame, text: str = "text", label: str = "quality
     seen = labelled.select(is_pos.alias("pos"), F.explode(tokens(text)).alias("token"))
     counts = seen.groupBy("token").agg(F.sum("pos").alias("n_pos"), F.sum(1 - F.col("pos")).alias("n_neg"))
     totals = labelled.agg(F.sum(is_pos).alias("all_pos"), F.sum(1 - is_pos).alias("all_neg"))
-    # One-row side: the two class sizes.
-    both = counts.withColumn("one", F.lit(1)).join(F.broadcast(totals.withColumn("one", F.lit(1))), "one")
-    odds = F.log((F.col("n_pos") + 1) / (F.col("all_pos") + 2)) - F.log(
-        (F.col("n_neg") + 1) / (F.col("all_neg") + 2)
-    )
-    return both.select("token", odds.alias("weight"))
+
+    def share(n: str, total: str) -> Column:
+        return F.log((F.col(n) + 1) / (totals.select(total).scalar() + 2))
+
+    return counts.select("token", (share("n_pos", "all_pos") - share("n_neg", "all_neg")).alias("weight"))
 
 
 def score_texts(texts: DataFrame, weights: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -65,12 +64,11 @@ def learn_cuts(scores: DataFrame, score: str = "score") -> DataFrame:
 
 def with_stars(scores: DataFrame, cuts: DataFrame, score: str = "score") -> DataFrame:
     """Adds ``stars`` 1..5 by the band the binned score falls in."""
-    both = scores.withColumn("one", F.lit(1)).join(F.broadcast(cuts.withColumn("one", F.lit(1))), "one").drop("one")
     b = F.round(score, SCORE_DIGITS)
     star = F.lit(1)
-    for i in range(1, 5):
-        star = star + F.when(b > F.col(f"c{i}"), 1).otherwise(0)
-    return both.withColumn("stars", F.when(b.isNotNull(), star)).drop("c1", "c2", "c3", "c4")
+    for c in cuts.columns:
+        star = star + F.when(b > cuts.select(c).scalar(), 1).otherwise(0)
+    return scores.withColumn("stars", F.when(b.isNotNull(), star))
 
 
 def scorer_udf(scorer: Callable[[Iterator[pd.Series]], Iterator[pd.Series]]):

@@ -37,8 +37,12 @@ def write_batch(batch: DataFrame, root: str, number: int, key: str = "review_id"
 
 
 def read_index(spark: SparkSession, root: str, key: str = "review_id") -> DataFrame:
+    """Current rows. The first batch, as a rule the bulk, is only rid of replaced ids; later ones are ranked."""
     rows = spark.read.parquet(root)
-    return one_per_id(rows, F.desc(BATCH), key=key).drop(BATCH)
+    first = rows.agg(F.min(BATCH)).first()[0]
+    base = rows.where(F.col(BATCH) == first).drop(BATCH)
+    later = one_per_id(rows.where(F.col(BATCH) > first), F.desc(BATCH), key=key).drop(BATCH)
+    return base.join(later.select(key), key, "left_anti").unionByName(later)
 
 
 def compact(spark: SparkSession, root: str, target: str, number: int = 0, key: str = "review_id") -> None:

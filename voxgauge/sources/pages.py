@@ -171,6 +171,6 @@ def extraction_totals(review_pages: DataFrame, reviews: DataFrame) -> DataFrame:
     products = review_pages.agg(
         F.count_if(F.col("reviews_url").isNotNull()).alias("n_products"),
         F.count_if(F.col("reviews_url").isNull()).alias("n_skipped"),
-    ).withColumn("one", F.lit(1))
-    found = reviews.agg(F.count(F.lit(1)).alias("n_reviews")).withColumn("one", F.lit(1))
-    return found.join(products, "one").drop("one")
+    )
+    found = reviews.agg(F.count(F.lit(1)).alias("n_reviews"))
+    return products.select(found.scalar().alias("n_reviews"), "n_products", "n_skipped")

@@ -8,11 +8,9 @@ result, not the same values. A user's model plugs in as a batch function (``scor
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from voxgauge.functions.batch import BatchFunction, batch_udf
 from voxgauge.functions.text import col
 
 SCORE_DIGITS = 3  # training scores are binned to this resolution before the quintiles are read
@@ -71,6 +69,6 @@ def with_stars(scores: DataFrame, cuts: DataFrame, score: str = "score") -> Data
     return scores.withColumn("stars", F.when(b.isNotNull(), star))
 
 
-def scorer_udf(scorer: Callable[[Iterator[pd.Series]], Iterator[pd.Series]]):
-    """A user's scorer as a column function: batches of texts to star counts. Load models before the loop."""
-    return F.pandas_udf(scorer, "int")
+def scorer_udf(scorer: BatchFunction):
+    """A user's scorer as a column function: batches of texts to star counts."""
+    return batch_udf(scorer, "int")

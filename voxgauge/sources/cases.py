@@ -25,7 +25,7 @@ def read_cases(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
 
 def read_truth(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
     """``(filename, truth)`` from a JSON object per file, or per line with ``whole_file=False``."""
-    docs = spark.read.option("wholetext", whole_file).text(path)
+    docs = spark.read.text(path, wholetext=whole_file)
     entries = F.from_json("value", "map<string,string>")
     return docs.select(F.explode(entries).alias("filename", "truth"))
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voxgauge import schema
 from voxgauge.functions import text as tx
+from voxgauge.functions.batch import BatchFunction, batch_udf
 from voxgauge.sources.rejects import first_reason
 
 # Logical name and column of the retailer export.
@@ -182,11 +180,9 @@ def listing_order(path: str = "path") -> list[Column]:
     return [F.regexp_extract(path, r"\.([^.]+)$", 1), F.col(path)]
 
 
-def read_images(
-    spark: SparkSession, directory: str, extract: Callable[[Iterator[pd.Series]], Iterator[pd.Series]]
-) -> DataFrame:
+def read_images(spark: SparkSession, directory: str, extract: BatchFunction) -> DataFrame:
     """Images of one directory through a user's recogniser, which maps batches of bytes to texts."""
-    recognise = F.pandas_udf(extract, "string")
+    recognise = batch_udf(extract, "string")
     images = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.{jpg,png}")

@@ -214,6 +214,21 @@ def test_enrich_and_index(spark):
     assert tuple(enrich.aspect_coverage(done).first()) == (3, 3)
 
 
+def test_enrich_with_a_user_finder(spark):
+    def finder(batches):
+        for b in batches:
+            yield b.map(lambda t: [" NYX ", "Acme", "NYX"] if "price" in t else [])
+
+    def scorer(batches):
+        for b in batches:
+            yield b.map(lambda t: 3, na_action="ignore").astype("Int32")
+
+    done = enrich.enrich(reviews(spark, ROWS), scorer=st.scorer_udf(scorer), finder=br.finder_udf(finder))
+    got = {r.review_id: r for r in done.collect()}
+    assert got["a"].entities.brands == ["Acme", "NYX"] and got["b"].entities.brands == []
+    assert got["a"].aspects["price"] == "neutral"
+
+
 def test_aspects_by_learned_weights(spark):
     labelled = spark.createDataFrame([("great fast", 1), ("bad late", 0)], "text string, quality int")
     weights = st.learn_weights(labelled)
@@ -302,6 +317,19 @@ def test_retrieval_scores(spark):
     assert got == {1: (pytest.approx(2 / 3), 1.0), 2: (0.5, 0.5), 3: (0.0, 0.0), 5: (0.0, 0.0)}
 
 
+def test_score_cases(spark):
+    cases = spark.createDataFrame([(1, ["A"]), (2, ["A"]), (3, None)], "question_id int, relevant_reviews array<string>")
+    hits = spark.createDataFrame([(1, 1, "B", 0.7), (1, 2, "A", 0.9), (3, 1, "A", 0.1)], "question_id int, rank int, product_id string, distance double")
+    got = {r.question_id: (r.precision, r.mrr, r.refused) for r in ev.score_cases(cases, hits).collect()}
+    assert got == {1: (0.5, 0.5, True), 2: (0.0, 0.0, True)}
+
+
+def test_judge_bodies(spark):
+    df = spark.createDataFrame([("c", "q", "a")], "context string, question string, answer string")
+    row = df.select(ev.faithfulness_body(), ev.relevance_body()).first()
+    assert tuple(row) == ("CONTEXT:\nc\n\nANSWER:\na", "QUESTION:\nq\n\nANSWER:\na")
+
+
 def test_summary(spark):
     rows = [
         ("a", True, 0.5, 1.0, 1.0, True, False, False),

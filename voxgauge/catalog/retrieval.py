@@ -321,23 +321,6 @@ def precision_mrr(spark: SparkSession, sf: str) -> DataFrame:
     return scores.select("question_id", rounded("precision"), rounded("mrr"))
 
 
-def scored_cases(spark: SparkSession, sf: str) -> DataFrame:
-    hits = product_hits(spark, sf)
-    # Gate and scores come from one pass over the hits of each question.
-    good = F.array_contains("relevant_reviews", F.col("product_id"))
-    asked = ev.annotated(cases(spark, sf))
-    per_question = (
-        hits.join(asked.select("question_id", "relevant_reviews"), "question_id")
-        .groupBy("question_id")
-        .agg(
-            F.avg(F.when(good, 1.0).otherwise(0.0)).alias("precision"),
-            F.coalesce(1.0 / F.min(F.when(good, F.col("rank"))), F.lit(0.0)).alias("mrr"),
-            (F.avg("distance") > qa.DISTANCE_THRESHOLD).alias("refused"),
-        )
-    )
-    return asked.join(per_question, "question_id", "left").na.fill({"precision": 0.0, "mrr": 0.0, "refused": True})
-
-
 SUMMARY = """
 SELECT coalesce(category, 'all') AS category, count(*) AS n,
   round(avg(CASE WHEN expects_answer THEN precision END), 6) AS avg_precision,
@@ -353,7 +336,7 @@ GROUP BY ROLLUP (category)
 
 @query(HITS + CASES + SUMMARY)
 def eval_by_category(spark: SparkSession, sf: str) -> DataFrame:
-    report = ev.summary(scored_cases(spark, sf))
+    report = ev.summary(ev.score_cases(cases(spark, sf), product_hits(spark, sf)))
     return report.select(
         F.coalesce("category", F.lit("all")).alias("category"), "n", *[rounded(c) for c in report.columns[2:]]
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from voxgauge.functions.batch import BatchFunction, batch_udf
 from voxgauge.functions.entities import names_brand, sorted_set
 from voxgauge.functions.text import MODEL_CHARS, col, cut
 
@@ -44,3 +45,8 @@ def brand_counts(found: DataFrame) -> DataFrame:
         .groupBy("brand")
         .agg(F.count(F.lit(1)).alias("n_reviews"))
     )
+
+
+def finder_udf(finder: BatchFunction):
+    """A user's name finder as a column function: batches of texts to arrays of names."""
+    return batch_udf(finder, "array<string>")

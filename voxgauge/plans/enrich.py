@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxgauge.functions import aspects as asp, text as tx
-from voxgauge.functions.entities import extract_skus
+from voxgauge.functions.entities import extract_skus, sorted_set
 from voxgauge.operators.brands import find_brands
 from voxgauge.operators.language import detect_language
 from voxgauge.operators.sentiment import score_texts, with_stars
@@ -52,16 +52,34 @@ def analyse_aspects_by_weights(reviews: DataFrame, weights: DataFrame, cuts: Dat
     return _with_label_map(joined, lambda a: F.col(f"_{a}")).drop(*[f"_{a}" for a in ASPECTS])
 
 
-def extract_entities(reviews: DataFrame, phrases: DataFrame | None = None) -> DataFrame:
-    """Sets ``entities`` (brands, skus); without a dictionary the brands are empty and nothing shuffles."""
+def extract_entities(reviews: DataFrame, phrases: DataFrame | None = None, finder=None) -> DataFrame:
+    """Sets ``entities`` (brands, skus).
+
+    Brands come from a user's batch finder, which reads the head of the text and needs no shuffle, or from
+    a dictionary by join; with neither they are empty.
+    """
     empty = F.array().cast("array<string>")
-    skus = extract_skus(tx.analysed_text())
-    if phrases is None:
-        return reviews.withColumn("entities", F.struct(empty.alias("brands"), skus.alias("skus")))
-    named = find_brands(reviews.select("review_id", tx.analysed_text().alias("text")), phrases)
-    joined = reviews.join(named, "review_id", "left")
-    entities = F.struct(F.coalesce("brands", empty).alias("brands"), skus.alias("skus"))
-    return joined.withColumn("entities", entities).drop("brands")
+    text = tx.analysed_text()
+    if phrases is not None:
+        named = find_brands(reviews.select("review_id", text.alias("text")), phrases)
+        reviews = reviews.join(named, "review_id", "left")
+        brands = F.coalesce("brands", empty)
+    elif finder is not None:
+        brands = sorted_set(F.transform(finder(tx.cut(text, tx.MODEL_CHARS)), lambda b: tx.strip(b)))
+    else:
+        brands = empty
+    entities = F.struct(brands.alias("brands"), extract_skus(text).alias("skus"))
+    return reviews.withColumn("entities", entities).drop("brands")
+
+
+def enrich(
+    reviews: DataFrame, profiles: DataFrame | None = None, scorer=None, phrases: DataFrame | None = None, finder=None
+) -> DataFrame:
+    """Cleaning, language, aspects and entities in turn; what has no model or dictionary stays unset."""
+    done = preprocess(reviews, profiles)
+    if scorer is not None:
+        done = analyse_aspects(done, scorer)
+    return extract_entities(done, phrases, finder)
 
 
 def index_rows(reviews: DataFrame) -> DataFrame:

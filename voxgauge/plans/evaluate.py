@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from voxgauge.plans.answer import DISTANCE_THRESHOLD
+
 # Fixed value: the line a judge's text must hold.
 PASS_MARK = "VERDICT: PASS"
 
@@ -36,6 +38,36 @@ def retrieval_scores(cases: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
+def score_cases(cases: DataFrame, hits: DataFrame, threshold: float = DISTANCE_THRESHOLD) -> DataFrame:
+    """Annotated cases with precision, mrr and ``refused``, from one pass over each case's hits.
+
+    ``hits`` has question_id, rank, product_id and distance of the unfiltered search. A case without hits
+    scores 0 and is refused, as its topic is not covered.
+    """
+    good = F.array_contains("relevant_reviews", F.col("product_id"))
+    asked = annotated(cases)
+    scores = (
+        hits.join(asked.select("question_id", "relevant_reviews"), "question_id")
+        .groupBy("question_id")
+        .agg(
+            F.avg(F.when(good, 1.0).otherwise(0.0)).alias("precision"),
+            F.coalesce(1.0 / F.min(F.when(good, F.col("rank"))), F.lit(0.0)).alias("mrr"),
+            (F.avg("distance") > threshold).alias("refused"),
+        )
+    )
+    joined = asked.join(scores, "question_id", "left")
+    return joined.na.fill({"precision": 0.0, "mrr": 0.0, "refused": True})
+
+
+def faithfulness_body(context: str = "context", answer: str = "answer") -> Column:
+    """What a judge of faithfulness reads; calling the judge is the user's."""
+    return F.concat(F.lit("CONTEXT:\n"), F.col(context), F.lit("\n\nANSWER:\n"), F.col(answer))
+
+
+def relevance_body(question: str = "question", answer: str = "answer") -> Column:
+    return F.concat(F.lit("QUESTION:\n"), F.col(question), F.lit("\n\nANSWER:\n"), F.col(answer))
+
+
 def passed(verdict: Column | str) -> Column:
     return (F.col(verdict) if isinstance(verdict, str) else verdict).contains(PASS_MARK)
 

@@ -9,6 +9,7 @@ from voxgauge.functions import aspects as asp, entities as ent, intent, text as
 from voxgauge.operators import brands as br, language as lg, sentiment as st
 from voxgauge.plans import enrich
 from voxgauge.schema import ASPECTS
+from voxgauge.session import stored
 
 # Every Unicode space, for engines whose \s knows only ASCII.
 SQL_SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -231,7 +232,7 @@ def brand_join(spark: SparkSession, sf: str) -> DataFrame:
     single = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?U)" + CAPITAL), 0))
     counted = docs.select(F.explode(single).alias("phrase")).groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
     total = docs.agg(F.count(F.lit(1))).scalar()
-    phrases = counted.where(F.col("n") * 50 >= total)
+    phrases = stored(spark, "phrases", counted.where(F.col("n") * 50 >= total))
     found = br.find_brands(docs, phrases.select("phrase"), max_chars=None)
     return found.select(F.col("review_id").alias("doc_id"), F.array_join("brands", ",").alias("brands"))
 
@@ -320,8 +321,8 @@ def sentiment_weights(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sentiment_scores(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    weights = st.learn_weights(docs.join(table(spark, sf, "labels"), "doc_id"))
-    scores = st.score_texts(docs, weights, ["doc_id"])
+    weights = stored(spark, "weights", st.learn_weights(docs.join(table(spark, sf, "labels"), "doc_id")))
+    scores = stored(spark, "scores", st.score_texts(docs, weights, ["doc_id"]))
     starred = st.with_stars(scores, st.learn_cuts(scores))
     return starred.select(
         "doc_id", F.round("score", 6).alias("score"), "stars", asp.star_label("stars").alias("label")

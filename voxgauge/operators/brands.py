@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from voxgauge.functions.batch import BatchFunction, batch_udf
 from voxgauge.functions.entities import names_brand, sorted_set
 from voxgauge.functions.text import MODEL_CHARS, col, cut
+from voxgauge.operators.joins import sized
 
 CAPITALISED = r"\b\p{Lu}[\p{L}\p{N}]*"
 
@@ -25,12 +26,11 @@ def find_brands(
 ) -> DataFrame:
     """``(key, brands)`` for texts that name a phrase of the dictionary, brands sorted.
 
-    The dictionary's size is the user's, so the join carries no hint; repeats are dropped inside each row
-    before the shuffle.
+    The dictionary may be of any size: it is counted before the join is planned. Repeats in a text are
+    dropped inside its row.
     """
-    found = texts.select(key, F.explode(candidates(text, max_chars)).alias("phrase")).join(
-        phrases.select("phrase").distinct(), "phrase"
-    )
+    found = texts.select(key, F.explode(candidates(text, max_chars)).alias("phrase"))
+    found = found.join(sized(phrases.select("phrase").distinct()), "phrase")
     return found.groupBy(key).agg(sorted_set(F.collect_set("phrase")).alias("brands"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxgauge.functions.batch import BatchFunction, batch_udf
 from voxgauge.functions.text import col
+from voxgauge.operators.joins import sized
 
 SCORE_DIGITS = 3  # training scores are binned to this resolution before the quintiles are read
 
@@ -27,17 +28,21 @@ def learn_weights(labelled: DataFrame, text: str = "text", label: str = "quality
     seen = labelled.select(is_pos.alias("pos"), F.explode(tokens(text)).alias("token"))
     counts = seen.groupBy("token").agg(F.sum("pos").alias("n_pos"), F.sum(1 - F.col("pos")).alias("n_neg"))
     totals = labelled.agg(F.sum(is_pos).alias("all_pos"), F.sum(1 - is_pos).alias("all_neg"))
+    both = counts.withColumn("sizes", totals.select(F.struct("all_pos", "all_neg")).scalar())
 
     def share(n: str, total: str) -> Column:
-        return F.log((F.col(n) + 1) / (totals.select(total).scalar() + 2))
+        return F.log((F.col(n) + 1) / (F.col(f"sizes.{total}") + 2))
 
-    return counts.select("token", (share("n_pos", "all_pos") - share("n_neg", "all_neg")).alias("weight"))
+    return both.select("token", (share("n_pos", "all_pos") - share("n_neg", "all_neg")).alias("weight"))
 
 
 def score_texts(texts: DataFrame, weights: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys`` and ``score``: mean weight of the distinct known tokens, null when none is known."""
+    """``keys`` and ``score``: mean weight of the distinct known tokens, null when none is known.
+
+    Store the weights first (``shared_path``): they are counted before the join is planned.
+    """
     words = texts.select(*keys, F.explode(tokens(text)).alias("token"))
-    known = words.join(weights, "token")
+    known = words.join(sized(weights), "token")
     scored = known.groupBy(*keys).agg(F.avg("weight").alias("score"))
     return texts.select(*keys).join(scored, keys, "left")
 
@@ -65,8 +70,9 @@ def with_stars(scores: DataFrame, cuts: DataFrame, score: str = "score") -> Data
     b = F.round(score, SCORE_DIGITS)
     star = F.lit(1)
     for c in cuts.columns:
-        star = star + F.when(b > cuts.select(c).scalar(), 1).otherwise(0)
-    return scores.withColumn("stars", F.when(b.isNotNull(), star))
+        star = star + F.when(b > F.col(f"_cuts.{c}"), 1).otherwise(0)
+    banded = scores.withColumn("_cuts", cuts.select(F.struct(*cuts.columns)).scalar())
+    return banded.withColumn("stars", F.when(b.isNotNull(), star)).drop("_cuts")
 
 
 def scorer_udf(scorer: BatchFunction):

@@ -53,7 +53,9 @@ def metadata(**fields: Column) -> Column:
 
 def conform(df: DataFrame, *extra: str) -> DataFrame:
     """Select the review columns in order and type; columns the source lacks become null."""
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    if df.columns == [*REVIEW.names, *extra] and all(have[f.name] == f.dataType for f in REVIEW.fields):
+        return df
     cols = [
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in REVIEW.fields

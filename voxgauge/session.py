@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only settings the library's plans lean on; size-dependent ones stay with the cluster.
 DEFAULTS = {
@@ -37,3 +37,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="voxgauge-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/voxgauge/{name}-{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """The rows written once in the shared folder and read back, for a result that several steps use."""
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -31,25 +31,32 @@ REPORT_HEADER = "Product ID"
 
 
 def stage_json(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Reviews from one JSON object per row. Each line is parsed once, into a variant."""
-    rows = lines.where(F.length(tx.strip(line)) > 0).withColumn("_v", F.try_parse_json(line))
-
-    def field(name: str, kind: str = "string") -> Column:
-        return F.try_variant_get("_v", f"$.{name}", kind)
-
-    rows = rows.select(
-        F.col("_v").isNull().alias("broken"),
-        field("text").alias("text"),
-        tx.first_non_empty(field("parent_asin"), field("asin")).alias("product_id"),
-        field("user_id").alias("user_id"),
-        field("timestamp", "long").alias("ms"),
-        field("rating", "double").alias("rating"),
-        schema.metadata(
-            title=field("title"),
-            verified_purchase=field("verified_purchase", "boolean"),
-            helpful_vote=field("helpful_vote", "long"),
-        ).alias("metadata"),
-    )
+    """Reviews from one JSON object per row.
+
+    Each line is parsed once, into a variant. The fields leave through a generator, as a filter on the
+    reject reason would otherwise be pushed below the parse and repeat it.
+    """
+
+    def fields(v: Column) -> Column:
+        def field(name: str, kind: str = "string") -> Column:
+            return F.try_variant_get(v, f"$.{name}", kind)
+
+        return F.struct(
+            v.isNull().alias("broken"),
+            field("text").alias("text"),
+            tx.first_non_empty(field("parent_asin"), field("asin")).alias("product_id"),
+            field("user_id").alias("user_id"),
+            field("timestamp", "long").alias("ms"),
+            field("rating", "double").alias("rating"),
+            schema.metadata(
+                title=field("title"),
+                verified_purchase=field("verified_purchase", "boolean"),
+                helpful_vote=field("helpful_vote", "long"),
+            ).alias("metadata"),
+        )
+
+    filled = lines.where(F.length(tx.strip(line)) > 0)
+    rows = filled.select(F.inline(F.transform(F.array(F.try_parse_json(line)), fields)))
     original = F.concat(
         F.coalesce("user_id", F.lit("")), F.coalesce(F.col("ms").cast("string"), F.lit(""))
     )

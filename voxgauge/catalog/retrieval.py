@@ -101,7 +101,8 @@ hits AS (
 RETRIEVED = f"""
 WITH {V},
 near AS (
-  SELECT q.question_id, q.wish, c.*, round(1 - list_cosine_similarity(q.e, c.e), 9) AS distance
+  SELECT q.question_id, q.wish, c.review_id, c.a_product, c.a_service,
+    round(1 - list_cosine_similarity(q.e, c.e), 9) AS distance
   FROM asked q, ix c WHERE trim(q.question) <> '' AND q.question_id <> c.review_id),
 free AS (
   SELECT * FROM (
@@ -115,11 +116,11 @@ wished AS (
 gate AS (SELECT question_id, avg(distance) AS mean_distance, avg(distance) <= 0.69 AS relevant FROM free GROUP BY 1),
 told AS (
   SELECT w.question_id, count(*) AS n,
-    string_agg(w.product_id, ',' ORDER BY w.rank) AS cited,
-    string_agg('[Product ' || w.product_id || ', rating '
-      || CASE WHEN w.rating IS NULL THEN '-1' WHEN w.source = 'json' THEN w.rating || '.0' ELSE w.rating || '' END
-      || '/5] ' || w.text, chr(10) || chr(10) ORDER BY w.rank) AS context
-  FROM wished w JOIN gate g ON g.question_id = w.question_id AND g.relevant GROUP BY 1),
+    string_agg(i.product_id, ',' ORDER BY w.rank) AS cited,
+    string_agg('[Product ' || i.product_id || ', rating '
+      || CASE WHEN i.rating IS NULL THEN '-1' WHEN i.source = 'json' THEN i.rating || '.0' ELSE i.rating || '' END
+      || '/5] ' || i.text, chr(10) || chr(10) ORDER BY w.rank) AS context
+  FROM wished w JOIN gate g ON g.question_id = w.question_id AND g.relevant JOIN ix i USING (review_id) GROUP BY 1),
 answers AS (
   SELECT q.question_id, q.question, g.mean_distance,
     CASE WHEN trim(q.question) = '' THEN 'blank'

@@ -20,12 +20,14 @@ def sql_strip(c: str) -> str:
 
 
 def sql_decode(c: str) -> str:
-    """The entities the pages hold; the ampersand goes last, so that nothing is decoded twice."""
+    """The entities the pages hold, with or without their semicolon, as a page may cut one short.
+
+    The ampersand goes last, so that nothing is decoded twice.
+    """
     for entity, char in (
-        ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"),
-        ("&copy;", "'©'"), ("&middot;", "'·'"), ("&amp;", "'&'"),
+        ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("copy", "©"), ("middot", "·"), ("amp", "&"),
     ):
-        c = f"replace({c}, '{entity}', {char})"
+        c = f"regexp_replace({c}, '&{entity};?', '{char}', 'g')"
     return c
 
 

@@ -86,6 +86,27 @@ def test_nearest_prunes_cells_without_loss(spark):
     assert result(knn.nearest(qd, cd, metric="l2sq", cells=40)) == brute(q, c, list(range(len(c))), 5, "l2sq")
 
 
+def test_many_equal_vectors_stay_bounded():
+    rng = np.random.default_rng(6)
+    q, c = rng.normal(size=(50, 4)), np.repeat(rng.normal(size=(3, 4)), 400, axis=0)
+    for metric in ("cosine", "l2sq", "dot"):
+        if metric == "cosine":
+            q, c = knn._scale(q, metric), knn._scale(c, metric)
+        rows, cols, dist = knn._near(q, c, None, 5, metric)
+        assert len(rows) <= 2 * 5 * len(q)
+        got = knn._best(rows, cols, dist, 5)
+        want = brute(q, c, list(range(len(c))), 5, metric)
+        assert got[1].reshape(50, 5).tolist() == [want[i] for i in range(50)]
+
+
+def test_large_norms_fall_back_to_double_precision():
+    rng = np.random.default_rng(7)
+    q, c = 1e4 + rng.normal(size=(20, 8)), 1e4 + rng.normal(size=(900, 8))
+    got = knn._best(*knn._near(q, c, None, 5, "l2sq"), 5)
+    want = brute(q, c, list(range(len(c))), 5, "l2sq")
+    assert got[1].reshape(20, 5).tolist() == [want[i] for i in range(20)]
+
+
 def test_nearest_small_and_empty_corpus(spark):
     q, c = np.eye(3)[:2], np.eye(3)
     qd, cd = frames(spark, q, c, [1, 2, 3], kind="double")

@@ -189,6 +189,14 @@ def test_upsert(spark):
     assert sorted(tuple(r) for r in again.collect()) == got
 
 
+def test_repeated_ids_choose_alike_with_maps(spark):
+    rows = [("a", {"k": "1"}), ("a", {"k": "2"}), ("b", None)]
+    df = spark.createDataFrame(rows, "review_id string, m map<string,string>")
+    one = sorted((r.review_id, str(r.m)) for r in up.distinct_batch(df).collect())
+    two = sorted((r.review_id, str(r.m)) for r in up.distinct_batch(df.repartition(3)).collect())
+    assert one == two and len(one) == 2
+
+
 def test_stored_batches(spark, tmp_path):
     root = str(tmp_path / "ix")
     up.write_batch(frame(spark, [("a", "1"), ("b", "2")]), root, 0)
@@ -205,13 +213,14 @@ def test_stored_batches(spark, tmp_path):
 
 def test_incremental_ingest_replays_are_harmless(spark, tmp_path):
     src, root, state = tmp_path / "in", str(tmp_path / "ix"), str(tmp_path / "state")
+    rejects = str(tmp_path / "rejects")
     src.mkdir()
 
     def put(name, records):
         write(src / name, "\n".join(json.dumps(r) for r in records))
 
     def load(checkpoint=state):
-        query = start_ingest(spark, str(src), root, checkpoint, lambda r: r)
+        query = start_ingest(spark, str(src), root, checkpoint, lambda r: r, rejects_root=rejects)
         query.awaitTermination()
         return {r.product_id: r.document for r in up.read_index(spark, root).collect()}
 
@@ -220,6 +229,8 @@ def test_incremental_ingest_replays_are_harmless(spark, tmp_path):
     put("2.jsonl", [{"text": "new", "asin": "A", "user_id": "u", "timestamp": 1}, {"text": "two", "asin": "B"}, {"text": ""}])
     assert load() == {"A": "new", "B": "two"}
     assert load() == {"A": "new", "B": "two"}
+    counted = spark.read.schema("source string, reject_reason string, n_rows long, batch int").json(rejects)
+    assert [tuple(r) for r in counted.collect()] == [("json", "no_text", 1, 1)]
 
 
 def test_shared_path_needs_a_shared_folder(spark):

@@ -7,7 +7,7 @@ rewrites a large index and a replayed batch overwrites only itself. ``compact``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 BATCH = "batch"
 
@@ -20,8 +20,12 @@ def one_per_id(df: DataFrame, *order: Column, key: str = "review_id") -> DataFra
 
 def distinct_batch(batch: DataFrame, key: str = "review_id") -> DataFrame:
     """One row per id, chosen by content so that a replay chooses alike."""
-    names = [c for c in batch.columns if c != key]
-    content = F.xxhash64(*[F.to_json(F.struct(c)) for c in names]) if names else F.lit(0)
+
+    def hashable(f: T.StructField) -> Column:
+        plain = "map" not in f.dataType.simpleString()
+        return F.col(f.name) if plain else F.to_json(F.struct(f.name))
+
+    content = F.xxhash64(F.lit(0), *[hashable(f) for f in batch.schema.fields if f.name != key])
     return one_per_id(batch, content, key=key)
 
 

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from voxgauge.operators.upsert import write_batch
+from voxgauge.operators.upsert import BATCH, write_batch
 from voxgauge.plans.enrich import index_rows
-from voxgauge.sources.rejects import accepted
+from voxgauge.sources.rejects import accepted, reject_counts
 from voxgauge.sources.reviews import stage_json
 
 
@@ -20,16 +20,20 @@ def start_ingest(
     checkpoint: str,
     enrich: Callable[[DataFrame], DataFrame],
     files_per_batch: int | None = None,
+    rejects_root: str | None = None,
 ) -> StreamingQuery:
     """Loads all files not seen yet and stops. Ids are deterministic and a batch overwrites its own folder,
-    so a replay after a failure changes nothing.
+    so a replay after a failure changes nothing. With ``rejects_root`` each batch also leaves its reject counts.
     """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def load(lines: DataFrame, number: int) -> None:
-        write_batch(index_rows(enrich(accepted(stage_json(lines)))), index_root, number)
+        staged = stage_json(lines)
+        write_batch(index_rows(enrich(accepted(staged))), index_root, number)
+        if rejects_root:
+            reject_counts(staged).write.mode("overwrite").json(f"{rejects_root}/{BATCH}={number}")
 
     return (
         reader.text(source)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from voxgauge.functions.text import col, long_enough
 
 PROFILE_SIZE = 300
+MAX_PROFILE_ROWS = 60_000  # two hundred languages
 
 # Overlapping trigrams in one pass; a gram never starts inside a surrogate pair.
 TRIGRAM = r"(?s)(?![\uDC00-\uDFFF])(?=(.{3}))"
@@ -45,7 +46,9 @@ def with_language_scores(
     df: DataFrame, profiles: DataFrame, text: str = "text_clean", out: str = "scores"
 ) -> DataFrame:
     """Adds a struct with one score per language: the sum of count times weight over the text's grams."""
-    rows = profiles.orderBy("gram", "lang").collect()  # bounded by the profile size
+    rows = profiles.orderBy("gram", "lang").limit(MAX_PROFILE_ROWS + 1).collect()
+    if len(rows) > MAX_PROFILE_ROWS:
+        raise ValueError("too many languages: the profiles must fit into a model on the driver")
     grams = sorted({r["gram"] for r in rows})
     place = {g: i for i, g in enumerate(grams)}
     weights: dict[str, list[float]] = {}
@@ -53,14 +56,16 @@ def with_language_scores(
         weights.setdefault(r["lang"], [0.0] * len(grams))[place[r["gram"]]] = r["weight"]
     counter = CountVectorizerModel.from_vocabulary(grams, inputCol="_grams", outputCol="_counts", minTF=1.0)
     df = df.withColumn("_grams", F.coalesce(trigrams(text), F.array().cast("array<string>")))
-    df = counter.transform(df).withColumn("_dense", vector_to_array("_counts"))
+    # The grams a text has, as position and count; each language then looks up only those.
+    counted = F.transform(vector_to_array("_counts"), lambda n, i: F.struct(n.alias("n"), (i + 1).alias("i")))
+    df = counter.transform(df).withColumn("_found", F.filter(counted, lambda x: x["n"] > 0))
 
     def score(lang: str) -> Column:
-        parts = F.zip_with("_dense", F.lit(weights[lang]), lambda n, w: n * w)
-        return F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
+        weight = F.lit(weights[lang])
+        return F.aggregate("_found", F.lit(0.0), lambda a, x: a + x["n"] * F.element_at(weight, x["i"]))
 
     scores = F.struct(*[score(lang).alias(lang) for lang in sorted(weights)])
-    return df.withColumn(out, scores).drop("_grams", "_counts", "_dense")
+    return df.withColumn(out, scores).drop("_grams", "_counts", "_found")
 
 
 def best_language(df: DataFrame, scores: str = "scores") -> Column:

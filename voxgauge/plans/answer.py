@@ -32,15 +32,13 @@ def retrieve(questions: DataFrame, index: DataFrame, k: int = TOP_K, **search) -
     ``questions``: question_id, question, embedding, optionally ``skip``. Blank questions are not searched.
     """
     key_type = questions.schema["question_id"].dataType
-    skip = [F.col("skip")] if "skip" in questions.columns else []
-    asked = questions.where(~is_blank("question"))
-    wish = wish_bits(wanted_sentiment("question"))
-    probes = asked.select("question_id", "embedding", *skip, F.explode(
-        F.array_distinct(F.array(F.lit(0), wish))
-    ).alias("wish")).withColumn(
-        "question_id",
-        F.concat(F.when(F.col("wish") == 0, "0").otherwise("1"), F.col("question_id").cast("string")),
+    skip = ["skip"] if "skip" in questions.columns else []
+    wishes = F.array_distinct(F.array(F.lit(0), wish_bits(wanted_sentiment("question"))))
+    probes = questions.where(~is_blank("question")).select(
+        "question_id", "embedding", *skip, F.explode(wishes).alias("wish")
     )
+    kind = F.when(F.col("wish") == 0, "0").otherwise("1")
+    probes = probes.withColumn("question_id", F.concat(kind, F.col("question_id").cast("string")))
     hits = nearest(probes, searchable(index), k=k, **search)
     return hits.select(
         F.substring("question_id", 2, 1 << 30).cast(key_type).alias("question_id"),

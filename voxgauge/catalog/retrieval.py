@@ -227,7 +227,7 @@ def relevance_gate(spark: SparkSession, sf: str) -> DataFrame:
            THEN 'I couldn''t find any reviews relevant to this question in the dataset.' END AS message FROM answers"""
 )
 def grounded_answers(spark: SparkSession, sf: str) -> DataFrame:
-    answers = qa.answer(questions(spark, sf), review_index(spark, sf))
+    answers = qa.answer(questions(spark, sf), stored(spark, "index", review_index(spark, sf)))
     return answers.select(
         "question_id",
         "status",
@@ -245,7 +245,7 @@ def grounded_answers(spark: SparkSession, sf: str) -> DataFrame:
          FROM answers WHERE status = 'success'"""
 )
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
-    answers = qa.answer(questions(spark, sf), review_index(spark, sf))
+    answers = qa.answer(questions(spark, sf), stored(spark, "index", review_index(spark, sf)))
     return answers.where(F.col("status") == "success").select("question_id", "prompt")
 
 

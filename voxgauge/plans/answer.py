@@ -7,9 +7,10 @@ filter cannot change its verdict.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from voxgauge.functions.intent import is_blank, wanted_sentiment
+from voxgauge.operators.joins import BROADCAST_ROWS
 from voxgauge.operators.knn import label_bits, nearest, wish_bits
 from voxgauge.plans.enrich import NO_RATING, filled
 from voxgauge.schema import ASPECTS, SOURCE_JSON
@@ -49,12 +50,6 @@ def retrieve(questions: DataFrame, index: DataFrame, k: int = TOP_K, **search) -
     )
 
 
-def gated(hits: DataFrame, threshold: float = DISTANCE_THRESHOLD) -> DataFrame:
-    """Adds ``mean_distance`` of the question's unfiltered hits and the verdict ``relevant``."""
-    mean = F.avg(F.when(~F.col("filtered"), F.col("distance"))).over(Window.partitionBy("question_id"))
-    return hits.withColumn("mean_distance", mean).withColumn("relevant", F.col("mean_distance") <= threshold)
-
-
 def relevance(hits: DataFrame, threshold: float = DISTANCE_THRESHOLD) -> DataFrame:
     """``(question_id, mean_distance, relevant)`` of the questions that have hits."""
     mean = F.avg("distance")
@@ -79,21 +74,23 @@ def answer(
         is_blank("question").alias("blank"),
         wanted_sentiment("question").isNotNull().alias("wants"),
     )
-    hits = gated(retrieve(questions, index, k, **search), threshold)
+    hits = retrieve(questions, index, k, **search)
     # At most 2k rows per question from here on; only hits on topic fetch their review.
+    mean = F.avg(F.when(~F.col("filtered"), F.col("distance")))
     verdicts = hits.groupBy("question_id").agg(
-        F.first("mean_distance").alias("mean_distance"),
-        F.first("relevant").alias("relevant"),
+        mean.alias("mean_distance"),
+        (mean <= threshold).alias("relevant"),
         F.sort_array(F.collect_list(F.struct("filtered", "rank", "review_id"))).alias("hits"),
     )
     judged = asked.join(verdicts, "question_id", "left").withColumn(
         "hits", F.when(F.col("relevant"), F.filter("hits", lambda h: h["filtered"] == F.col("wants")))
     )
     payload = filled(index).select("review_id", "document", "product_id", "source", "rating", "text_raw")
+    wanted = judged.select("question_id", F.explode("hits").alias("h")).select("question_id", "h.rank", "h.review_id")
+    # The questions bound the hits: while these are few, the reviews are read in place and not shuffled.
+    few = questions.count() * k <= BROADCAST_ROWS
     cited = (
-        judged.select("question_id", F.explode("hits").alias("h"))
-        .select("question_id", "h.rank", "h.review_id")
-        .join(payload, "review_id")
+        payload.join(F.broadcast(wanted) if few else wanted, "review_id")
         .groupBy("question_id")
         .agg(
             F.sort_array(

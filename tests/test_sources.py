@@ -1,8 +1,6 @@
 import json
 from datetime import date
 
-import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from voxgauge import schema

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxgauge.llm import token_files
+from voxgauge.llm import packing, token_files
 from voxgauge.llm.shared import documents
 from voxgauge.session import shared_path
 
@@ -30,3 +30,17 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_token_files(documents(spark, sf_dir), path)
     read = token_files.read_token_files(spark, path)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack(spark, documents(spark, sf_dir))
+    return placed.select(
+        "doc_id",
+        "piece",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxgauge.llm import packing, token_files
-from voxgauge.llm.shared import documents
+from voxgauge.llm import decontaminate, packing, token_files
+from voxgauge.llm.shared import documents, table
 from voxgauge.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,47 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@_query(
+    "op1_decontamination",
+    f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+    b AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+    i AS (SELECT item_id, ws, least(len(ws), 10) AS w FROM b WHERE len(ws) > 0),
+    iw AS (
+      SELECT DISTINCT item_id, w, array_to_string(ws[s:s + w - 1], ' ') AS phrase
+      FROM (SELECT *, unnest(range(1, len(ws) - w + 2)) AS s FROM i)
+    ),
+    dw AS (
+      SELECT doc_id, w, s, array_to_string(ws[s:s + w - 1], ' ') AS phrase
+      FROM (
+        SELECT doc_id, ws, w, unnest(range(1, len(ws) - w + 2)) AS s FROM d, (SELECT DISTINCT w FROM i) AS k
+        WHERE len(ws) >= w
+      )
+    ),
+    h AS (SELECT doc_id, item_id, s, w FROM dw JOIN iw USING (w, phrase)),
+    p AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (
+      SELECT doc_id, unnest(range(s, s + w)) AS place FROM (SELECT DISTINCT doc_id, s, w FROM h)) GROUP BY doc_id),
+    g AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN p USING (doc_id) LEFT JOIN g USING (doc_id)
+    """,
+)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(spark, documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

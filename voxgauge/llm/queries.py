@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxgauge.llm import decontaminate, packing, token_files
-from voxgauge.llm.shared import documents, table
+from voxgauge.llm import decontaminate, language_id, packing, token_files
+from voxgauge.llm.shared import documents, remainder, table
 from voxgauge.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,18 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@_query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_id.fit(docs.filter(remainder("doc_id", 3) != 1))
+    found = language_id.predict(docs.select("doc_id", "text"), model, drop_text=True)
+    return found.select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        "cosine",
+        "rejected",
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voxgauge.session import stored
 
-__all__ = ["BROADCAST_BYTES", "broadcast_if_small", "documents", "remainder", "stored", "table"]
+__all__ = ["BROADCAST_BYTES", "broadcast_if_small", "documents", "fresh_name", "remainder", "stored", "table"]
 
 #: A join side is broadcast only if its counted rows and strings stay below this many bytes.
 BROADCAST_BYTES = 32 << 20
@@ -25,6 +25,15 @@ def remainder(doc_id: str | Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id, F.lit(""))) % modulus
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with a number if a column of ``df`` has it already."""
+    taken, n, out = {c.lower() for c in df.columns}, 0, name
+    while out.lower() in taken:
+        n += 1
+        out = f"{name}{n}"
+    return out
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` marked for broadcast if one aggregate over it shows that it is small, else left to a shuffled join.
 

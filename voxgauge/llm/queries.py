@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxgauge.llm import decontaminate, language_id, packing, token_files
+from voxgauge.llm import decontaminate, language_id, packing, token_files, url_filter
 from voxgauge.llm.shared import documents, remainder, table
 from voxgauge.session import shared_path
 
@@ -103,3 +103,19 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cosine",
         "rejected",
     )
+
+
+#: The rules of the contract.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@_query("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "url_score")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxgauge.llm import decontaminate, language_id, packing, token_files, url_filter
+from voxgauge.llm import decontaminate, language_id, packing, substring_dedup, token_files, url_filter
 from voxgauge.llm.shared import documents, remainder, table
 from voxgauge.session import shared_path
 
@@ -119,3 +119,10 @@ URL_RULES = [
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "url_score")
+
+
+@_query("op9_substring_dedup")
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its text without passages that an earlier document holds, and where they stood."""
+    found = substring_dedup.dedup(spark, documents(spark, sf_dir).select("doc_id", "text"))
+    return found.withColumn("has_repeats", F.col("removed_bytes") > 0)

@@ -29,8 +29,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows ``lo`` to ``hi`` with their UTF-8 bytes and offsets (from 0); a null text has no bytes."""
+def byte_slices(
+    column: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 30
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """At most ``rows`` rows ``lo`` to ``hi``, their UTF-8 bytes and offsets (from 0); a null text has no bytes."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
@@ -48,7 +50,7 @@ def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
     lo = 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
-        hi = min(hi, n)
+        hi = min(hi, n, lo + rows)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 

@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxgauge.llm import decontaminate, language_id, packing, substring_dedup, token_files, url_filter
+from voxgauge.llm import (
+    decontaminate,
+    language_id,
+    near_dedup,
+    packing,
+    substring_dedup,
+    token_files,
+    url_filter,
+)
 from voxgauge.llm.shared import documents, remainder, table
 from voxgauge.session import shared_path
 
@@ -126,3 +134,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its text without passages that an earlier document holds, and where they stood."""
     found = substring_dedup.dedup(spark, documents(spark, sf_dir).select("doc_id", "text"))
     return found.withColumn("has_repeats", F.col("removed_bytes") > 0)
+
+
+@_query("op5_minhash_near_dedup")
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with the class of its near copies."""
+    found = near_dedup.classes(spark, documents(spark, sf_dir))
+    return found.select("doc_id", "class_id", "class_size", "n_links", "kept")

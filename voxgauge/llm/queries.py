@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from voxgauge.llm import (
     decontaminate,
     language_id,
+    lm_scoring,
     near_dedup,
     packing,
     substring_dedup,
@@ -141,3 +142,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with the class of its near copies."""
     found = near_dedup.classes(spark, documents(spark, sf_dir))
     return found.select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
+@_query("op10_lm_scoring")
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", (remainder("doc_id", 10) != 0).alias("train"))
+    found = lm_scoring.scores(spark, docs)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), *found.columns[2:])

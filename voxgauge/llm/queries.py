@@ -12,6 +12,7 @@ from voxgauge.llm import (
     lm_scoring,
     near_dedup,
     packing,
+    quality,
     substring_dedup,
     token_files,
     url_filter,
@@ -149,3 +150,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", (remainder("doc_id", 10) != 0).alias("train"))
     found = lm_scoring.scores(spark, docs)
     return found.select("doc_id", (~F.col("train")).alias("held_out"), *found.columns[2:])
+
+
+@_query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "n_chars")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0))
+    return quality.score(docs, model, drop_text=True).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
+    )

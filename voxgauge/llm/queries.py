@@ -11,6 +11,7 @@ from voxgauge.llm import (
     language_id,
     lm_scoring,
     near_dedup,
+    neighbours,
     packing,
     quality,
     substring_dedup,
@@ -162,3 +163,9 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality_score").alias("score"),
         (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@_query("op6_nearest_neighbours")
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(spark, vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)

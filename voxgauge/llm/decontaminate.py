@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from voxgauge.llm.shared import broadcast_if_small, stored
+from voxgauge.llm.shared import broadcast_if_small, fresh_name, stored
 
 #: Words of a window.
 WINDOW = 10
@@ -46,21 +46,25 @@ def item_rows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """The index: row, place and term of every word that is a term; and one line per text with its number of words.
 
-    That line has term -1, the number of words as its place, and the document's id; the others carry no id. Write
-    the result before use: ``row`` numbers the rows of this scan, so that equal ids stay apart.
+    That line has term -1, the number of words as its place, the document's id and the hash of its text (tag); the others
+    carry neither. Write the result before use: ``row`` numbers the rows of this scan, so that equal ids stay apart.
     """
     closed = F.concat(words("text"), F.array(F.lit("")))  # the last place of a text stands for its length
     placed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), closed.alias("ws")
-    ).select("doc_id", "row", F.posexplode("ws").alias("place", "word"))
-    joined = placed.join(terms, "word")
-    return joined.select(
-        "row", "place", "term", F.when(F.col("term") == -1, F.col("doc_id")).alias("doc_id")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"),
+        F.monotonically_increasing_id().alias("row"),
+        closed.alias("ws"),
+    ).select("doc_id", "tag", "row", F.posexplode("ws").alias("place", "word"))
+    last = F.col("term") == -1
+    return placed.join(terms, "word").select(
+        "row", "place", "term", F.when(last, F.col("doc_id")).alias("doc_id"), F.when(last, F.col("tag")).alias("tag")
     )
 
 
 def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Occurrences (row, item_id, first, last: places of the first and the last word), and texts (row, doc_id, n_words).
+    """Occurrences (row, item_id, first, last: places of the first and the last word), and texts (row, doc_id, tag,
+    n_words).
 
     An occurrence is a whole run: windows that follow one another at one alignment are one occurrence.
     """
@@ -71,7 +75,7 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window:
     end = spark.range(1).select(F.lit("").alias("word"), F.lit(-1).cast("long").alias("term"))
     terms = stored(spark, "terms", numbered.unionByName(end))
     index = stored(spark, "postings", postings(docs, broadcast_if_small(terms)))
-    texts = index.filter("term = -1").select("row", "doc_id", F.col("place").cast("long").alias("n_words"))
+    texts = index.filter("term = -1").select("row", "doc_id", "tag", F.col("place").cast("long").alias("n_words"))
     index = index.filter("term <> -1").select("row", "place", "term")
 
     frequency = index.groupBy("term").agg(F.count("*").alias("df"))
@@ -116,7 +120,8 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window:
 
 
 def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit (words inside occurrences), items (sorted ids as text), spans.
+    """Per row of ``docs``: doc_id, tag (hash of the text), n_words, n_hit (words inside occurrences), items (sorted ids as
+    text), spans.
 
     Null and empty texts have no words and no hits; a null id of an item is left out of ``items``; rows that share an
     id are told apart and each gets its line. Without items, or without texts, there are no hits or no lines. Other
@@ -133,8 +138,20 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     joined = texts.join(broadcast_if_small(hit.join(found, "row")), "row", "left")
     return joined.select(
         "doc_id",
+        "tag",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("spans", F.array().cast(found.schema["spans"].dataType)).alias("spans"),
     )
+
+
+def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without any occurrence, with all their columns."""
+    found = contamination(spark, docs, benchmark, window).filter("n_hit > 0")
+    gone = found.select(F.col("doc_id").alias("gone_id"), F.col("tag").alias("gone_tag")).distinct()
+    gone = broadcast_if_small(stored(spark, "contaminated", gone))
+    tag = fresh_name(docs, "tag")
+    rows = docs.withColumn(tag, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = rows["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & (rows[tag] == gone["gone_tag"])
+    return rows.join(gone, same, "left_anti").select(*docs.columns)

@@ -4,14 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxgauge.llm.shared import documents
+from voxgauge.llm import decontaminate, language_id, near_dedup, packing, substring_dedup
+from voxgauge.llm.shared import documents, table
 from voxgauge.session import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the table names: those far from every centroid go, and those without a letter."""
+    return language_id.predict(docs, language_id.fit(docs)).filter("not rejected").select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return near_dedup.dedup(spark, docs)
+
+
+def own_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that stay in another document; a document of which nothing is left goes."""
+    found = substring_dedup.dedup(spark, docs).filter("removed_bytes = 0 or trim(text) <> ''")
+    n_chars = F.when(F.col("removed_bytes") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontaminate.clean(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their place in sequences of 1,024 tokens."""
+    placed = packing.pack(spark, docs)
+    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
+    ("near_dedup", one_of_near_copies),
+    ("substring_dedup", own_passages),
+    ("decontamination", without_benchmark),
+    ("best_fit_packing", packed),
+]
 
 #: Learned and hashed stages have no SQL form; tests hold each stage against a brute-force version.
 ORACLE_SQL: str | None = None

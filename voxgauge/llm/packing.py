@@ -62,14 +62,14 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list[Pat
         return None
 
     def longest_pair(room: int, without: int) -> int:
-        i, k, best = 0, bisect_right(lengths, room) - 1, 0
+        there = [n for n in lengths if left[n] > (n == without)]
+        i, k, best = 0, len(there) - 1, 0
         while i <= k:
-            a, b = lengths[i], lengths[k]
+            a, b = there[i], there[k]
             if a + b > room:
                 k -= 1
                 continue
-            have = left[a] - (a == without), left[b] - (b == without)
-            if min(have) > 0 and (a != b or have[0] > 1):
+            if i < k or left[a] - (a == without) > 1:
                 best = max(best, a + b)
             i += 1
         return best

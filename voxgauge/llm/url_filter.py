@@ -21,7 +21,7 @@ from voxgauge.llm.arrow_text import byte_slices
 from voxgauge.llm.shared import fresh_name, remainder
 
 ORDER = 6
-CELLS = 1 << 15
+CELLS = 1 << 16
 PRIOR = 2.0
 #: One labelled URL in this many calibrates the threshold and is not counted.
 CALIBRATION = 5
@@ -70,8 +70,8 @@ def _cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     at = np.flatnonzero(inner)
     grams, contexts = np.empty((ORDER, len(at)), np.int64), np.empty((ORDER, len(at)), np.int64)
     gram, context = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
-    step = np.uint64(1)
-    hashed = lambda x, k: ((x * np.uint64(0x9E3779B97F4A7C15 + 2 * k)) >> np.uint64(49)).astype(np.int64)
+    step = np.ones(1, np.uint64)
+    hashed = lambda x, k: ((x * np.uint64(0x9E3779B97F4A7C15 + 2 * k)) >> np.uint64(48)).astype(np.int64)
     for k in range(ORDER):
         grams_code = full[at - k] + np.uint64(1)
         gram = gram + grams_code * step
@@ -141,7 +141,7 @@ def _scored(rows: DataFrame, text: str, grams: np.ndarray, contexts: np.ndarray,
 def fit(labelled: DataFrame) -> UrlModel:
     """Learns from rows (id, text, accepted), all of them but one in ``CALIBRATION``, which set the threshold.
 
-    The threshold has the best mean of both classes' shares judged right, the lowest of equally good ones. Without
+    The threshold has the best mean of both classes' shares judged right, the middle of equally good ones. Without
     accepted or without rejected rows it is the one that judges all like those there are; without any, all pass.
     """
     rows = labelled.select(F.col("accepted").cast("int").alias("accepted"), "text", remainder("id", CALIBRATION).alias("r"))
@@ -157,7 +157,8 @@ def fit(labelled: DataFrame) -> UrlModel:
         return UrlModel(grams, contexts, np.inf if sizes[0] else -np.inf)
     passing = counts[1][::-1].cumsum()[::-1] / sizes[1]
     stopped = (counts[0].cumsum() - counts[0]) / sizes[0]
-    return UrlModel(grams, contexts, float(np.argmax(passing + stopped)) * BIN - SPAN)
+    best = np.flatnonzero(passing + stopped >= (passing + stopped).max() - 1e-12)
+    return UrlModel(grams, contexts, float(best[0] + best[-1]) / 2 * BIN - SPAN)
 
 
 def judge(pages: DataFrame, rules: list[Rule], model: UrlModel | None = None) -> DataFrame:

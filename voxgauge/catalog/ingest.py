@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voxgauge import schema
 from voxgauge.catalog.registry import query, spread, table
@@ -265,13 +265,12 @@ def image_texts(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """SELECT path, row_number() OVER (ORDER BY regexp_extract(path, '[^.]+$'), path) AS place FROM (
       SELECT 'img/scan.v1_' || item_id || CASE item_id % 3 WHEN 0 THEN '.png' WHEN 1 THEN '.jpg' ELSE '.gif' END AS path
-      FROM benchmark) ORDER BY place LIMIT 20"""
+      FROM benchmark)"""
 )
 def image_listing(spark: SparkSession, sf: str) -> DataFrame:
-    """First twenty files of the listing, by suffix and name: the limit is the listing's page."""
-    listed = image_rows(spark, sf).select("path").orderBy(*rv.listing_order()).limit(20)
-    place = F.row_number().over(Window.orderBy(*rv.listing_order()))
-    return listed.select("path", place.cast("long").alias("place"))
+    """Every file of the listing with its place, by suffix and name."""
+    listed = rv.numbered(image_rows(spark, sf).select("path"), *rv.listing_order())
+    return listed.select("path", "place")
 
 
 # --- Pages ----------------------------------------------------------------------------------------
@@ -604,3 +603,64 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
         F.md5("text_raw").alias("raw_md5"),
         (F.coalesce("aspect_price", F.lit("none")) == "neutral").alias("speaks_of_price"),
     )
+
+
+def as_index(spark: SparkSession, sf: str) -> DataFrame:
+    """A bulk of index rows made from the records, without what only later loads know."""
+    from voxgauge.plans.enrich import index_rows, preprocess
+
+    return index_rows(preprocess(rj.accepted(rv.stage_json(json_lines(spark, sf)))))
+
+
+@query(
+    f"""WITH {SQL_JSON}, bulk AS (SELECT sha1('json:u' || doc_id || ms) AS review_id, product_id FROM reason WHERE reject_reason IS NULL)
+    SELECT * FROM bulk UNION ALL
+    SELECT sha1('json:w' || item_id || '1'), 'late' FROM benchmark WHERE item_id % 2 = 0 AND {sql_strip('text')} <> '' UNION ALL
+    SELECT sha1('json:w' || item_id || '2'), 'later' FROM benchmark WHERE item_id % 2 = 1 AND {sql_strip('text')} <> ''"""
+)
+def stream_into_index(spark: SparkSession, sf: str) -> DataFrame:
+    """A bulk load, two streams with checkpoints of their own, and one of them again after its checkpoint was lost."""
+    from voxgauge.plans.enrich import INDEX, preprocess
+
+    root = shared_path(spark, "index")
+    up.write_batch(as_index(spark, sf), root, 0)
+    items = table(spark, sf, "benchmark")
+    for k, product in ((0, "late"), (1, "later")):
+        source = shared_path(spark, "incoming")
+        record = F.struct(
+            F.lit(product).alias("asin"), "text", F.concat(F.lit("w"), F.col("item_id").cast("string")).alias("user_id"),
+            F.lit(k + 1).alias("timestamp"), F.lit(4.0).alias("rating"),
+        )
+        items.where(F.col("item_id") % 2 == k).select(F.to_json(record).alias("value")).write.text(source)
+        for _ in range(k + 1):  # the second is replayed with nothing in its checkpoint
+            start_ingest(spark, source, root, shared_path(spark, "state"), preprocess).awaitTermination()
+    return up.read_index(spark, root, schema=INDEX).select("review_id", "product_id")
+
+
+@query(
+    """SELECT 'd' || doc_id AS review_id, CASE WHEN quality IS NOT NULL THEN lang END AS language,
+      coalesce(quality = 1, false) AS has_vector
+    FROM documents LEFT JOIN labels USING (doc_id) WHERE text <> ''"""
+)
+def index_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """A first load without language and vector, a later one with both: no column is lost."""
+    from voxgauge.plans.enrich import INDEX, index_rows
+
+    docs = table(spark, sf, "documents").select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("review_id"),
+        "doc_id",
+        F.lit("p").alias("product_id"),
+        F.lit("json").alias("source"),
+        F.lit(None).cast("double").alias("rating"),
+        F.col("text").alias("text_raw"),
+        F.col("text").alias("text_clean"),
+        "lang",
+    )
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    vector = F.when(F.col("quality") == 1, F.array(F.lit(1.0), F.lit(2.0)))
+    later = docs.join(labels, "doc_id").withColumns({"language": F.col("lang"), "embedding": vector})
+    root = shared_path(spark, "index")
+    up.write_batch(index_rows(docs), root, 0)
+    up.write_batch(index_rows(later), root, 0, "enriched")
+    read = up.read_index(spark, root, schema=INDEX)
+    return read.select("review_id", "language", F.col("embedding").isNotNull().alias("has_vector"))

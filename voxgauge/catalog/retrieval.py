@@ -10,7 +10,8 @@ from voxgauge.operators.knn import label_bits, nearest, wish_bits
 from voxgauge.plans import answer as qa, evaluate as ev
 from voxgauge.plans.enrich import filled, index_rows
 from voxgauge.schema import ASPECTS
-from voxgauge.session import stored
+from voxgauge.operators.upsert import read_index, write_batch
+from voxgauge.session import shared_path, stored
 
 # --- Shared fixtures ------------------------------------------------------------------------------
 
@@ -43,10 +44,14 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def review_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Index rows of the documents that have a vector."""
+    """Index rows of all documents; those without a vector are not found by a search."""
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("vec_id"), "quality", "toxic")
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
     reviews = (
-        labelled_vectors(spark, sf)
-        .join(table(spark, sf, "documents").withColumnRenamed("doc_id", "vec_id"), "vec_id")
+        table(spark, sf, "documents")
+        .withColumnRenamed("doc_id", "vec_id")
+        .join(vectors, "vec_id", "left")
+        .join(labels, "vec_id", "left")
         .select(
             F.col("vec_id").alias("review_id"),
             F.col("source").alias("product_id"),
@@ -76,11 +81,11 @@ asked AS (
     CASE WHEN label = 9 THEN NULL WHEN label % 3 = 0 THEN 'negative' WHEN label % 3 = 1 THEN 'positive' END AS wish
   FROM v),
 ix AS (
-  SELECT v.vec_id AS review_id, v.e, d.text, d.source AS product_id,
+  SELECT d.doc_id AS review_id, v.e, d.text, d.source AS product_id,
     CASE WHEN d.lang = 'en' THEN 'json' ELSE 'csv' END AS source, l.quality * 4 + 1 AS rating,
     CASE l.quality WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' END AS a_product,
     CASE WHEN l.toxic = 1 THEN 'negative' END AS a_service
-  FROM v JOIN documents d ON d.doc_id = v.vec_id LEFT JOIN labels l ON l.doc_id = v.vec_id
+  FROM documents d LEFT JOIN v ON d.doc_id = v.vec_id LEFT JOIN labels l ON l.doc_id = d.doc_id
   WHERE length(d.text) > 0)
 """
 
@@ -103,7 +108,7 @@ WITH {V},
 near AS (
   SELECT q.question_id, q.wish, c.review_id, c.a_product, c.a_service,
     round(1 - list_cosine_similarity(q.e, c.e), 9) AS distance
-  FROM asked q, ix c WHERE trim(q.question) <> '' AND q.question_id <> c.review_id),
+  FROM asked q, ix c WHERE trim(q.question) <> '' AND q.question_id <> c.review_id AND c.e IS NOT NULL),
 free AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY distance, review_id) AS rank FROM near)
@@ -224,7 +229,7 @@ def relevance_gate(spark: SparkSession, sf: str) -> DataFrame:
     + """SELECT question_id, status, round(mean_distance, 6) AS mean_distance, md5(context) AS context_md5,
          coalesce(n, 0) AS n_sources, cited,
          CASE WHEN status IN ('irrelevant', 'empty_after_filter')
-           THEN 'I couldn''t find any reviews relevant to this question in the dataset.' END AS message FROM answers"""
+           THEN '""" + qa.NO_RESULTS_MESSAGE.replace("'", "''") + """' END AS message FROM answers"""
 )
 def grounded_answers(spark: SparkSession, sf: str) -> DataFrame:
     answers = qa.answer(questions(spark, sf), stored(spark, "index", review_index(spark, sf)))
@@ -267,98 +272,139 @@ def index_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The index of all documents, written as a first batch and read back."""
+    root = shared_path(spark, "index")
+    write_batch(review_index(spark, sf), root, 0)
+    return read_index(spark, root)
+
+
 @query(f"WITH {V} SELECT review_id, left(text, 100) AS preview FROM ix ORDER BY review_id LIMIT 5")
 def index_preview(spark: SparkSession, sf: str) -> DataFrame:
     """First five documents of the index, cut for show: the limit is the report."""
-    index = review_index(spark, sf)
+    index = stored_index(spark, sf)
     return index.orderBy("review_id").limit(5).select("review_id", F.substring("document", 1, 100).alias("preview"))
 
 
+@query(f"WITH {V} SELECT count(*) AS n, count(e) AS n_vectors FROM ix")
+def index_count(spark: SparkSession, sf: str) -> DataFrame:
+    return stored_index(spark, sf).agg(F.count(F.lit(1)).alias("n"), F.count("embedding").alias("n_vectors"))
+
+
 # --- Evaluation of retrieval ----------------------------------------------------------------------
 
-CASES = """,
+# Cases with a wish and without, without hits (blank), without hits that the filter leaves (nobody is pleased
+# here), without an annotation (label 7) and without a category (label 4).
+CASES = RETRIEVED.replace("CASE l.quality WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' END AS a_product", "CASE l.quality WHEN 0 THEN 'negative' END AS a_product") + """,
 cases AS (
-  SELECT vec_id AS question_id, 'c' || label AS category, label <> 0 AS expects_answer,
-    CASE WHEN label <> 7 THEN 'p' || label END AS relevant,
-    vec_id * 7 % 10 < 6 AS faithful, vec_id * 3 % 10 < 8 AS on_topic, (vec_id % 13)::DOUBLE AS latency
-  FROM embeddings),
-scores AS (
+  SELECT question_id, CASE WHEN label <> 4 THEN 'c' || label END AS category, label <> 0 AND label <> 9 AS expects_answer,
+    CASE WHEN label <> 7 THEN ['src' || label, 'src' || (label + 10)] END AS relevant,
+    question_id * 7 % 10 < 6 AS faithful, question_id * 3 % 10 < 8 AS on_topic, (question_id % 13)::DOUBLE AS latency
+  FROM asked),
+scored AS (
   SELECT c.question_id,
-    coalesce(avg(CASE WHEN 'p' || h.hit_label = c.relevant THEN 1.0 ELSE 0.0 END), 0) AS precision,
-    coalesce(1.0 / min(CASE WHEN 'p' || h.hit_label = c.relevant THEN h.rank END), 0) AS mrr
-  FROM cases c LEFT JOIN hits h USING (question_id) WHERE c.relevant IS NOT NULL GROUP BY 1),
-gate AS (SELECT question_id, avg(distance) AS mean_distance FROM hits GROUP BY 1)
+    coalesce(avg(list_contains(c.relevant, i.product_id)::INT), 0) AS precision,
+    coalesce(1.0 / min(CASE WHEN list_contains(c.relevant, i.product_id) THEN w.rank END), 0) AS mrr,
+    NOT coalesce(any_value(g.relevant), false) OR count(w.rank) = 0 AS refused
+  FROM cases c LEFT JOIN wished w USING (question_id) LEFT JOIN ix i USING (review_id) LEFT JOIN gate g USING (question_id)
+  WHERE c.relevant IS NOT NULL GROUP BY 1)
 """
+HITS_ONLY = ", gate AS (SELECT question_id, avg(distance) AS mean_distance FROM hits GROUP BY 1)\n"
 
 
 def cases(spark: SparkSession, sf: str) -> DataFrame:
-    """A case per vector; its label's product is the relevant one, and label 7 is not annotated."""
-    v = F.col("vec_id")
-    product = F.concat(F.lit("p"), F.col("label").cast("string"))
+    v, label = F.col("question_id"), F.col("label")
     verdict = lambda ok: F.when(ok, "VERDICT: PASS\nREASON: ok").otherwise("VERDICT: FAIL\nREASON: no")
-    return table(spark, sf, "embeddings").select(
-        v.alias("question_id"),
-        F.concat(F.lit("c"), F.col("label").cast("string")).alias("category"),
-        (F.col("label") != 0).alias("expects_answer"),
-        F.when(F.col("label") != 7, F.array(product)).alias("relevant_reviews"),
+    products = F.array(*[F.concat(F.lit("src"), (label + n).cast("string")) for n in (0, 10)])
+    return questions(spark, sf).select(
+        "question_id",
+        "question",
+        "embedding",
+        "skip",
+        F.when(label != 4, F.concat(F.lit("c"), label.cast("string"))).alias("category"),
+        (~label.isin(0, 9)).alias("expects_answer"),
+        F.when(label != 7, products).alias("relevant_reviews"),
         ev.passed(verdict(v * 7 % 10 < 6)).alias("faithful"),
         ev.passed(verdict(v * 3 % 10 < 8)).alias("on_topic"),
         (v % 13).cast("double").alias("latency"),
     )
 
 
-def product_hits(spark: SparkSession, sf: str) -> DataFrame:
-    products = table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("review_id"), F.concat(F.lit("p"), F.col("label").cast("string")).alias("product_id")
-    )
-    return all_hits(spark, sf).join(products, "review_id")
+def case_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The index with no pleased review."""
+    label = F.col("aspect_product")
+    index = review_index(spark, sf).withColumn("aspect_product", F.when(label != "positive", label))
+    return stored(spark, "index", index)
+
+
+def case_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Both kinds of hits of every case, with their products."""
+    index = case_index(spark, sf)
+    hits = qa.retrieve(cases(spark, sf), index)
+    return hits.join(index.select("review_id", "product_id"), "review_id")
 
 
-@query(HITS + CASES + "SELECT question_id, round(precision, 6) AS precision, round(mrr, 6) AS mrr FROM scores")
+@query(CASES + "SELECT question_id, round(precision, 6) AS precision, round(mrr, 6) AS mrr FROM scored")
 def precision_mrr(spark: SparkSession, sf: str) -> DataFrame:
-    scores = ev.retrieval_scores(cases(spark, sf), product_hits(spark, sf))
+    asked = cases(spark, sf)
+    scores = ev.retrieval_scores(asked, ev.in_effect(asked, case_hits(spark, sf)))
     return scores.select("question_id", rounded("precision"), rounded("mrr"))
 
 
 SUMMARY = """
-SELECT coalesce(category, 'all') AS category, count(*) AS n,
+SELECT category, GROUPING(category) = 1 AS overall, count(*) AS n,
   round(avg(CASE WHEN expects_answer THEN precision END), 6) AS avg_precision,
   round(avg(CASE WHEN expects_answer THEN mrr END), 6) AS avg_mrr,
   round(avg(CASE WHEN expects_answer THEN faithful::INT END), 6) AS faithfulness,
   round(avg(CASE WHEN expects_answer THEN on_topic::INT END), 6) AS answer_relevance,
-  round(avg(CASE WHEN NOT expects_answer THEN (mean_distance > 0.69)::INT END), 6) AS no_answer_accuracy,
+  round(avg(CASE WHEN NOT expects_answer THEN refused::INT END), 6) AS no_answer_accuracy,
   round(avg(latency), 6) AS avg_latency
-FROM cases JOIN scores USING (question_id) JOIN gate USING (question_id)
+FROM cases JOIN scored USING (question_id)
 GROUP BY ROLLUP (category)
 """
 
 
-@query(HITS + CASES + SUMMARY)
+def rounded_summary(report: DataFrame) -> DataFrame:
+    rates = [c for c in report.columns if c not in ("category", "overall", "n")]
+    return report.select("category", "overall", "n", *[rounded(c) for c in rates])
+
+
+@query(CASES + SUMMARY)
 def eval_by_category(spark: SparkSession, sf: str) -> DataFrame:
-    report = ev.summary(ev.score_cases(cases(spark, sf), product_hits(spark, sf)))
-    return report.select(
-        F.coalesce("category", F.lit("all")).alias("category"), "n", *[rounded(c) for c in report.columns[2:]]
-    )
+    return rounded_summary(ev.summary(ev.score_cases(cases(spark, sf), case_hits(spark, sf))))
+
+
+@query(CASES + SUMMARY)
+def evaluation_run(spark: SparkSession, sf: str) -> DataFrame:
+    """From cases and an index to the summary."""
+    return rounded_summary(ev.evaluation_run(cases(spark, sf), case_index(spark, sf))[0])
 
 
 @query(
-    HITS + CASES + """
-SELECT count(*) AS n, round(avg((mean_distance > 0.69)::INT), 6) AS accuracy,
-  printf('%.0f%%', 100 * avg((mean_distance > 0.69)::INT)) AS shown
-FROM cases JOIN gate USING (question_id) WHERE NOT expects_answer"""
+    CASES + """
+SELECT count(*) AS n, round(avg(refused::INT), 6) AS accuracy, printf('%.0f%%', 100 * avg(refused::INT)) AS shown
+FROM cases JOIN scored USING (question_id) WHERE NOT expects_answer"""
 )
 def no_answer_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     from voxgauge.functions.text import whole_percent
 
-    gates = qa.relevance(all_hits(spark, sf).withColumn("filtered", F.lit(False)))
-    message = F.when(F.col("relevant"), "generated").otherwise(qa.NO_RESULTS_MESSAGE)
-    refused = (message == qa.NO_RESULTS_MESSAGE).cast("int")
-    return (
-        cases(spark, sf)
-        .where(~F.col("expects_answer"))
-        .join(gates, "question_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.avg(refused).alias("a"))
-        .select("n", F.round("a", 6).alias("accuracy"), whole_percent("a").alias("shown"))
+    scored = ev.score_cases(cases(spark, sf), case_hits(spark, sf)).where(~F.col("expects_answer"))
+    rate = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("refused").cast("int")).alias("a"))
+    return rate.select("n", F.round("a", 6).alias("accuracy"), whole_percent("a").alias("shown"))
+
+
+@query(
+    CASES + """
+SELECT question_id, question, 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: ' || question AS content,
+  'CONTEXT:' || chr(10) || context || chr(10) || chr(10) || 'ANSWER:' || chr(10) || 'ok' AS judged
+FROM cases JOIN answers USING (question_id) WHERE status = 'success' AND relevant IS NOT NULL"""
+)
+def judge_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """What a model and a judge of its answer read about each answered case."""
+    _, told = ev.evaluation_run(cases(spark, sf), case_index(spark, sf), system="Be brief.")
+    told = told.where(F.col("status") == "success").withColumn("answer", F.lit("ok"))
+    return told.select(
+        "question_id", "question", F.col("messages")[1]["content"].alias("content"), ev.faithfulness_body().alias("judged")
     )
 
 
@@ -366,7 +412,7 @@ THRESHOLDS = [0.55, 0.6, 0.62, 0.64, 0.66, 0.68, 0.69, 0.7, 0.72, 0.75]
 
 
 @query(
-    HITS + CASES + f"""
+    HITS + HITS_ONLY + f"""
 SELECT threshold, count(*) FILTER (mean_distance <= threshold AND label < 5) AS kept_on_topic,
   count(*) FILTER (mean_distance <= threshold AND label >= 5) AS kept_off_topic,
   round(avg(((mean_distance <= threshold) = (label < 5))::INT), 6) AS accuracy
@@ -383,7 +429,7 @@ def threshold_sweep(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    HITS + CASES + """
+    HITS + HITS_ONLY + """
 SELECT CASE WHEN label < 5 THEN 'relevant' ELSE 'off_topic' END AS kind, count(*) AS n,
   round(min(mean_distance), 6) AS lowest, round(avg(mean_distance), 6) AS mean, round(max(mean_distance), 6) AS highest
 FROM gate JOIN embeddings ON vec_id = question_id GROUP BY 1"""
@@ -400,7 +446,7 @@ def distance_ranges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-WITH c AS (SELECT vec_id AS question_id, CASE WHEN label <> 7 THEN 'p' || label END AS relevant FROM embeddings),
+WITH c AS (SELECT vec_id AS question_id, CASE WHEN label <> 7 THEN 'src' || label || ',src' || (label + 10) END AS relevant FROM embeddings),
 d AS (SELECT doc_id AS question_id, 'q' || quality AS relevant FROM labels)
 SELECT question_id, coalesce(c.relevant, d.relevant) AS relevant,
   coalesce(c.relevant, d.relevant) IS NOT NULL AS annotated

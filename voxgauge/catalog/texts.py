@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voxgauge.catalog.registry import query, table
 from voxgauge.functions import aspects as asp, entities as ent, intent, text as tx
-from voxgauge.operators import brands as br, language as lg, sentiment as st
+from voxgauge.operators import brands as br, embed as em, language as lg, sentiment as st
 from voxgauge.plans import enrich
 from voxgauge.schema import ASPECTS
 from voxgauge.session import stored
@@ -282,13 +282,13 @@ def language_profile(spark: SparkSession, sf: str) -> DataFrame:
 )
 def language_detect(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    profiles = lg.build_profiles(docs)
-    scored = lg.with_language_scores(docs, profiles, "text")
-    best = F.array_max(F.array(*[f"scores.{f.name}" for f in scored.schema["scores"].dataType.fields]))
-    return scored.select(
+    profiles = stored(spark, "profiles", lg.build_profiles(docs))
+    lengths = docs.select("doc_id", "text", tx.long_enough("text").alias("long"))
+    best = lg.language_scores(lengths, profiles, ["doc_id", "long"], "text")
+    return best.select(
         "doc_id",
-        F.when(tx.long_enough("text"), lg.best_language(scored)).alias("language"),
-        F.round(best, 4).alias("score"),
+        F.when(F.col("long"), F.col("language")).alias("language"),
+        F.round(F.coalesce("score", F.lit(0.0)), 4).alias("score"),
     )
 
 
@@ -362,3 +362,51 @@ def question_intent(spark: SparkSession, sf: str) -> DataFrame:
 def star_text(spark: SparkSession, sf: str) -> DataFrame:
     rating = F.col("l_quantity") / 10 - 0.5
     return table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", tx.stars(rating).alias("stars"))
+
+
+# --- A user's own batch functions -----------------------------------------------------------------
+
+
+@query(
+    """SELECT doc_id, length(text)::DOUBLE AS size, (length(text) - length(replace(text, 'e', '')))::DOUBLE AS es FROM documents"""
+)
+def embedded_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """A toy embedder: length and the number of one letter."""
+
+    def embed(batches):
+        for texts in batches:
+            yield texts.map(lambda t: [float(len(t)), float(t.count("e"))])
+
+    docs = table(spark, sf, "documents").select("doc_id", em.embedder_udf(embed)("text").alias("v"))
+    return docs.select("doc_id", F.col("v")[0].cast("double").alias("size"), F.col("v")[1].cast("double").alias("es"))
+
+
+@query(
+    """SELECT doc_id, length(text) % 5 + 1 AS stars,
+      CASE WHEN length(text) % 5 < 2 THEN 'negative' WHEN length(text) % 5 = 2 THEN 'neutral' ELSE 'positive' END AS label
+    FROM documents"""
+)
+def scored_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """A toy scorer: stars by the length."""
+
+    def score(batches):
+        for texts in batches:
+            yield texts.str.len() % 5 + 1
+
+    docs = table(spark, sf, "documents").select("doc_id", st.scorer_udf(score)("text").alias("stars"))
+    return docs.select("doc_id", F.col("stars").cast("long").alias("stars"), asp.star_label("stars").alias("label"))
+
+
+@query(
+    r"""SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(left(text, 512), '[A-Z]{2,}'))), ',') AS names
+    FROM documents"""
+)
+def found_names(spark: SparkSession, sf: str) -> DataFrame:
+    """A toy name finder: words in capitals in the head of a text."""
+
+    def find(batches):
+        for texts in batches:
+            yield texts.str.findall("[A-Z]{2,}")
+
+    names = ent.sorted_set(br.finder_udf(find)(tx.cut("text", tx.MODEL_CHARS)))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(names, ",").alias("names"))

@@ -232,8 +232,8 @@ def whole_percent(c: Column | str) -> Column:
 
 
 def two_decimals(c: Column | str) -> Column:
-    """``0.12`` for an eighth: halves to even."""
-    return F.format_string("%.2f", F.bround(col(c), 2))
+    """``0.12`` for an eighth: the number itself is rounded, halves to even, not its shortest decimal."""
+    return F.call_function("format_number", col(c).cast("double"), F.lit("0.00"))
 
 
 def report_text(summary: Column | str, body: Column | str) -> Column:

@@ -1,19 +1,18 @@
 """Language of a text from character trigrams.
 
-Profiles are built by aggregation. They are bounded (``size`` grams per language), so scoring looks grams
-up inside each row, through a count vectoriser over the profile's grams: no shuffle, no join back.
+Profiles are built by aggregation. A text's grams meet them by join, and each text's sums are combined before the
+shuffle, so about one row per text and language moves. Profiles may be of any number of languages; the side of the join
+is broadcast only if it is small by count of its bytes.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxgauge.functions.text import col, long_enough
+from voxgauge.operators.joins import BROADCAST_BYTES, counted_bytes
 
 PROFILE_SIZE = 300
-MAX_PROFILE_ROWS = 60_000  # two hundred languages
 
 # Overlapping trigrams in one pass; a gram never starts inside a surrogate pair.
 TRIGRAM = r"(?s)(?![\uDC00-\uDFFF])(?=(.{3}))"
@@ -42,42 +41,25 @@ def build_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
     return top.withColumn("share", share).select("lang", "gram", (F.col("share") - floor).alias("weight"))
 
 
-def with_language_scores(
-    df: DataFrame, profiles: DataFrame, text: str = "text_clean", out: str = "scores"
-) -> DataFrame:
-    """Adds a struct with one score per language: the sum of count times weight over the text's grams."""
-    rows = profiles.orderBy("gram", "lang").limit(MAX_PROFILE_ROWS + 1).collect()
-    if len(rows) > MAX_PROFILE_ROWS:
-        raise ValueError("too many languages: the profiles must fit into a model on the driver")
-    grams = sorted({r["gram"] for r in rows})
-    place = {g: i for i, g in enumerate(grams)}
-    weights: dict[str, list[float]] = {}
-    for r in rows:
-        weights.setdefault(r["lang"], [0.0] * len(grams))[place[r["gram"]]] = r["weight"]
-    counter = CountVectorizerModel.from_vocabulary(grams, inputCol="_grams", outputCol="_counts", minTF=1.0)
-    df = df.withColumn("_grams", F.coalesce(trigrams(text), F.array().cast("array<string>")))
-    # The grams a text has, as position and count; each language then looks up only those.
-    counted = F.transform(vector_to_array("_counts"), lambda n, i: F.struct(n.alias("n"), (i + 1).alias("i")))
-    df = counter.transform(df).withColumn("_found", F.filter(counted, lambda x: x["n"] > 0))
-
-    def score(lang: str) -> Column:
-        weight = F.lit(weights[lang])
-        return F.aggregate("_found", F.lit(0.0), lambda a, x: a + x["n"] * F.element_at(weight, x["i"]))
-
-    scores = F.struct(*[score(lang).alias(lang) for lang in sorted(weights)])
-    return df.withColumn(out, scores).drop("_grams", "_counts", "_found")
-
-
-def best_language(df: DataFrame, scores: str = "scores") -> Column:
-    """Language of the highest score, the lower code on a tie; null when nothing matched."""
-    names = [f.name for f in df.schema[scores].dataType.fields]
-    top = F.greatest(*[F.round(f"{scores}.{n}", 6) for n in names]) if len(names) > 1 else F.round(f"{scores}.{names[0]}", 6)
-    picks = [F.when(F.round(f"{scores}.{n}", 6) == top, F.lit(n)) for n in names]
-    return F.when(top > 0, F.coalesce(*picks))
+def language_scores(df: DataFrame, profiles: DataFrame, keys: list[str], text: str = "text_clean") -> DataFrame:
+    """``keys``, ``language`` and ``score``: each key's best language, the sum of count times weight over its grams.
+
+    Equal sums (to six digits) go to the lower code. A text without a gram of any profile has neither.
+    """
+    # A language's weights of one gram side by side, so that a gram of the text stays one row.
+    weights = profiles.groupBy("gram").agg(F.collect_list(F.struct("lang", "weight")).alias("weights"))
+    grams = df.select(*keys, F.explode_outer(trigrams(text)).alias("gram"))
+    small = counted_bytes(profiles) <= BROADCAST_BYTES
+    found = grams.join(F.broadcast(weights) if small else weights, "gram", "left").select(*keys, F.explode_outer("weights").alias("w"))
+    sums = found.groupBy(*keys, F.col("w.lang").alias("lang")).agg(F.sum("w.weight").alias("s"))
+    order = F.struct((-F.round("s", 6)).alias("place"), "lang", "s")
+    best = sums.groupBy(*keys).agg(F.min(F.when(F.col("lang").isNotNull(), order)).alias("best"))
+    return best.select(*keys, F.col("best.lang").alias("language"), F.col("best.s").alias("score"))
 
 
 def detect_language(df: DataFrame, profiles: DataFrame, text: str = "text_clean") -> DataFrame:
-    """Sets ``language``; short texts stay undecided."""
-    scored = with_language_scores(df, profiles, text, "_scores")
-    language = F.when(long_enough(text), best_language(scored, "_scores"))
-    return scored.withColumn("language", language).drop("_scores")
+    """Sets ``language``; short texts stay undecided. Texts are told apart by their digest, so ids may repeat."""
+    keyed = df.drop("language").withColumn("_key", F.md5(F.coalesce(F.col(text), F.lit(""))))
+    distinct = keyed.where(long_enough(text)).select("_key", text).dropDuplicates(["_key"])
+    found = language_scores(distinct, profiles, ["_key"], text).select("_key", "language")
+    return keyed.join(found, "_key", "left").drop("_key")

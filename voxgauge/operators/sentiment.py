@@ -37,14 +37,13 @@ def learn_weights(labelled: DataFrame, text: str = "text", label: str = "quality
 
 
 def score_texts(texts: DataFrame, weights: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys`` and ``score``: mean weight of the distinct known tokens, null when none is known.
+    """One row per ``keys`` with ``score``: mean weight of the distinct known tokens, null when none is known.
 
-    Store the weights first (``shared_path``): they are counted before the join is planned.
+    The texts are read once and their means shuffled once. Store the weights first (``shared_path``): their size is
+    counted before the join is planned.
     """
-    words = texts.select(*keys, F.explode(tokens(text)).alias("token"))
-    known = words.join(sized(weights), "token")
-    scored = known.groupBy(*keys).agg(F.avg("weight").alias("score"))
-    return texts.select(*keys).join(scored, keys, "left")
+    words = texts.select(*keys, F.explode_outer(tokens(text)).alias("token"))
+    return words.join(sized(weights), "token", "left").groupBy(*keys).agg(F.avg("weight").alias("score"))
 
 
 def learn_cuts(scores: DataFrame, score: str = "score") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxgauge.functions.intent import is_blank, wanted_sentiment
-from voxgauge.operators.joins import BROADCAST_ROWS
+from voxgauge.operators.joins import BROADCAST_BYTES
 from voxgauge.operators.knn import label_bits, nearest, wish_bits
 from voxgauge.plans.enrich import NO_RATING, filled
 from voxgauge.schema import ASPECTS, SOURCE_JSON
@@ -61,12 +61,18 @@ def relevance(hits: DataFrame, threshold: float = DISTANCE_THRESHOLD) -> DataFra
 
 
 def answer(
-    questions: DataFrame, index: DataFrame, k: int = TOP_K, threshold: float = DISTANCE_THRESHOLD, **search
+    questions: DataFrame,
+    index: DataFrame,
+    k: int = TOP_K,
+    threshold: float = DISTANCE_THRESHOLD,
+    system: str | None = None,
+    **search,
 ) -> DataFrame:
-    """One row per question: status, message, context, prompt and cited sources.
+    """One row per question: status, message, context, prompt, messages and cited sources.
 
-    Status is blank, irrelevant, empty_after_filter or success. Generation is the user's: the prompt is a
-    column, ``message`` is set where the answer is a refusal.
+    Status is blank, irrelevant, empty_after_filter or success. Generation is the user's: the prompt is a column, and
+    ``messages`` has the instruction ``system`` (a default without one) before it; ``message`` is set where the answer is a
+    refusal.
     """
     asked = questions.select(
         "question_id",
@@ -87,8 +93,12 @@ def answer(
     )
     payload = filled(index).select("review_id", "document", "product_id", "source", "rating", "text_raw")
     wanted = judged.select("question_id", F.explode("hits").alias("h")).select("question_id", "h.rank", "h.review_id")
-    # The questions bound the hits: while these are few, the reviews are read in place and not shuffled.
-    few = questions.count() * k <= BROADCAST_ROWS
+    # The questions bound the hits, of two ids and a rank each: while these are few, the reviews are read in place. Else only
+    # the reviews that some hit names are shuffled; a filter of the ids meets the index in its scan.
+    asked_for = questions.agg(F.count(F.lit(1)), F.max(F.length(F.col("question_id").cast("string")))).first()
+    few = asked_for[0] * k * (2 * (asked_for[1] or 0) + 128) <= BROADCAST_BYTES
+    if not few:
+        payload = payload.join(wanted.select("review_id").distinct(), "review_id", "left_semi")
     cited = (
         payload.join(F.broadcast(wanted) if few else wanted, "review_id")
         .groupBy("question_id")
@@ -129,6 +139,7 @@ def answer(
             ).alias("sources"),
         )
         .withColumn("prompt", prompt())
+        .withColumn("messages", messages(system))
     )
 
 
@@ -138,5 +149,18 @@ def rating_text(rating: Column, source: Column) -> Column:
     return F.when(as_loaded, rating.cast("string")).otherwise(rating.cast("long").cast("string"))
 
 
+#: What a model is told about its task unless the caller has words of their own.
+INSTRUCTION = "Answer from the customer reviews in the context only, name products by their ids, and say so if they do not tell."
+
+
+def messages(system: str | None = None) -> Column:
+    """Role and content of each message, as a chat model takes them; null without a prompt."""
+    pair = F.array(
+        *[F.struct(F.lit(r).alias("role"), c.alias("content")) for r, c in
+          (("system", F.lit(system or INSTRUCTION)), ("user", F.col("prompt")))]
+    )
+    return F.when(F.col("prompt").isNotNull(), pair)
+
+
 def prompt() -> Column:
     return F.concat(F.lit("Context:\n"), F.col("context"), F.lit("\n\nQuestion: "), F.col("question"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from voxgauge.functions import aspects as asp, text as tx
 from voxgauge.functions.entities import extract_skus, sorted_set
@@ -11,6 +11,20 @@ from voxgauge.operators.language import detect_language
 from voxgauge.operators.sentiment import score_texts, with_stars
 from voxgauge.schema import ASPECTS
 
+#: Columns of an index, the same whatever a load has found; the vector column may be left out of a reading.
+_TEXT = T.StringType()
+_NAMES = T.ArrayType(_TEXT)
+INDEX = T.StructType(
+    [T.StructField(c, _TEXT) for c in ("review_id", "document", "product_id", "source")]
+    + [T.StructField("rating", T.DoubleType()), T.StructField("text_raw", _TEXT)]
+    + [T.StructField(c, _TEXT) for c in (*[f"aspect_{a}" for a in ASPECTS], "language")]
+    + [
+        T.StructField("review_date", T.DateType()),
+        T.StructField("entities", T.StructType([T.StructField("brands", _NAMES), T.StructField("skus", _NAMES)])),
+        T.StructField("embedding", T.ArrayType(T.FloatType())),
+    ]
+)
+
 NO_RATING = -1.0
 NO_ASPECT = "none"
 
@@ -83,23 +97,20 @@ def enrich(
 
 
 def index_rows(reviews: DataFrame) -> DataFrame:
-    """One row per review with text: document, metadata, and real nulls kept for later filters."""
+    """One row per review with text, in the columns and types of ``INDEX``; what a load lacks is null.
+
+    An id that is no string, as of a numbered table, keeps its type.
+    """
     has = set(reviews.columns)
-    labels = [
-        (F.col("aspects")[a] if "aspects" in has else F.lit(None).cast("string")).alias(f"aspect_{a}")
-        for a in ASPECTS
-    ]
-    extra = [c for c in ("language", "review_date", "entities", "embedding") if c in has]
-    rows = reviews.select(
-        "review_id",
-        tx.analysed_text().alias("document"),
-        "product_id",
-        "source",
-        "rating",
-        "text_raw",
-        *labels,
-        *extra,
-    )
+    made = {"document": tx.analysed_text()}
+    for a in ASPECTS:
+        made[f"aspect_{a}"] = F.col("aspects")[a] if "aspects" in has else F.lit(None)
+
+    def column(f: T.StructField) -> Column:
+        value = made.get(f.name, F.col(f.name) if f.name in has else F.lit(None))
+        return (value if f.name == "review_id" else value.cast(f.dataType)).alias(f.name)
+
+    rows = reviews.select(*[column(f) for f in INDEX.fields])
     return rows.where(F.length("document") > 0)
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from voxgauge.plans.answer import DISTANCE_THRESHOLD
+from voxgauge.functions.intent import wanted_sentiment
+from voxgauge.plans.answer import DISTANCE_THRESHOLD, TOP_K, answer, retrieve
 
 # Fixed value: the line a judge's text must hold.
 PASS_MARK = "VERDICT: PASS"
@@ -19,8 +20,16 @@ def unannotated(cases: DataFrame) -> DataFrame:
 
 
 def merge_annotations(cases: DataFrame, decisions: DataFrame, key: str = "question_id") -> DataFrame:
-    """Decisions fill the cases that have none; annotated cases stay as they are."""
-    decided = decisions.select(key, F.col("relevant_reviews").alias("_decided"))
+    """Decisions fill the cases that have none; annotated cases stay as they are.
+
+    Two different decisions for one case raise when the rows are read; the same one twice counts once.
+    """
+    clash = F.raise_error(F.concat(F.lit("two decisions for case "), F.col(key).cast("string")))
+    decided = decisions.groupBy(key).agg(
+        F.min("relevant_reviews").alias("_decided"), F.max("relevant_reviews").alias("_other")
+    )
+    one = F.when(F.col("_decided").eqNullSafe(F.col("_other")), F.col("_decided")).otherwise(clash.cast("array<string>"))
+    decided = decided.select(key, one.alias("_decided"))
     merged = cases.join(decided, key, "left")
     return merged.withColumn("relevant_reviews", F.coalesce("relevant_reviews", "_decided")).drop("_decided")
 
@@ -38,27 +47,57 @@ def retrieval_scores(cases: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
+def in_effect(cases: DataFrame, hits: DataFrame) -> DataFrame:
+    """Of both kinds of hits (``answer.retrieve``) those that a case is answered from: the filtered ones if it has a wish."""
+    wants = cases.select("question_id", wanted_sentiment("question").isNotNull().alias("_wants"))
+    return hits.join(wants, "question_id").where(F.col("filtered") == F.col("_wants")).drop("_wants")
+
+
 def score_cases(cases: DataFrame, hits: DataFrame, threshold: float = DISTANCE_THRESHOLD) -> DataFrame:
     """Annotated cases with precision, mrr and ``refused``, from one pass over each case's hits.
 
-    ``hits`` has question_id, rank, product_id and distance of the unfiltered search. A case without hits
-    scores 0 and is refused, as its topic is not covered.
+    ``cases``: question_id, question, relevant_reviews and what else is to stay. ``hits``: question_id, filtered, rank, distance
+    (``answer.retrieve``) and product_id. Precision and rank are those of the hits in effect, the gate reads the unfiltered
+    ones. A case is refused if the gate is shut or the filter leaves nothing; without hits it scores 0 and is refused.
     """
-    good = F.array_contains("relevant_reviews", F.col("product_id"))
-    asked = annotated(cases)
+    asked = annotated(cases).withColumn("_wants", wanted_sentiment("question").isNotNull())
+    counts = F.col("filtered") == F.col("_wants")
+    good = counts & F.array_contains("relevant_reviews", F.col("product_id"))
+    gate = F.avg(F.when(~F.col("filtered"), F.col("distance")))
     scores = (
-        hits.join(asked.select("question_id", "relevant_reviews"), "question_id")
+        hits.join(asked.select("question_id", "relevant_reviews", "_wants"), "question_id")
         .groupBy("question_id")
         .agg(
-            F.avg(F.when(good, 1.0).otherwise(0.0)).alias("precision"),
+            F.avg(F.when(counts, F.when(good, 1.0).otherwise(0.0))).alias("precision"),
             F.coalesce(1.0 / F.min(F.when(good, F.col("rank"))), F.lit(0.0)).alias("mrr"),
-            (F.avg("distance") > threshold).alias("refused"),
+            (F.coalesce(gate > threshold, F.lit(True)) | (F.count_if(counts) == 0)).alias("refused"),
         )
     )
-    joined = asked.join(scores, "question_id", "left")
+    joined = asked.drop("_wants").join(scores, "question_id", "left")
     return joined.na.fill({"precision": 0.0, "mrr": 0.0, "refused": True})
 
 
+def evaluation_run(
+    cases: DataFrame,
+    index: DataFrame,
+    k: int = TOP_K,
+    threshold: float = DISTANCE_THRESHOLD,
+    system: str | None = None,
+    **search,
+) -> tuple[DataFrame, DataFrame]:
+    """From cases and an index to the summary, and to what a model and its judges read.
+
+    ``cases``: question_id, question, embedding, category, expects_answer, relevant_reviews, and the judges' latency,
+    faithful and on_topic, null while there are none. Unannotated cases are left out. The second table has the
+    answers' columns (status, message, context, messages) and the bodies for the judges, once an answer is put in.
+    """
+    asked = annotated(cases)
+    hits = retrieve(asked, index, k, **search)
+    products = index.select("review_id", "product_id")
+    told = answer(asked, index, k, threshold, system, **search)
+    return summary(score_cases(asked, hits.join(products, "review_id"), threshold)), told
+
+
 def faithfulness_body(context: str = "context", answer: str = "answer") -> Column:
     """What a judge of faithfulness reads; calling the judge is the user's."""
     return F.concat(F.lit("CONTEXT:\n"), F.col(context), F.lit("\n\nANSWER:\n"), F.col(answer))
@@ -77,7 +116,7 @@ def _rate(flag: str) -> Column:
 
 
 def summary(scored: DataFrame) -> DataFrame:
-    """Per category, and overall under a null category: counts, means and rates in one pass.
+    """Per category, and over all (``overall``, with a null category): counts, means and rates in one pass.
 
     ``scored`` has category, expects_answer, precision, mrr, latency, faithful, on_topic and refused. The
     means run over cases that expect an answer, the refusal accuracy over the others.
@@ -86,6 +125,7 @@ def summary(scored: DataFrame) -> DataFrame:
     cols = {c: F.when(wants, F.col(c)) for c in ("precision", "mrr", "faithful", "on_topic")}
     rows = scored.withColumns(cols).withColumn("refused_well", F.when(~wants, F.col("refused")))
     return rows.rollup("category").agg(
+        (F.grouping_id() == 1).alias("overall"),
         F.count(F.lit(1)).alias("n"),
         F.avg("precision").alias("avg_precision"),
         F.avg("mrr").alias("avg_mrr"),

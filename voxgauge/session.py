@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -25,17 +28,22 @@ def build_session(app_name: str = "voxgauge", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+_local_root: list[str] = []  # of this process, where a local session names no folder; gone at its end
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's shared checkpoint folder.
+    """A fresh path under the cluster's shared checkpoint folder, ``spark.checkpoint.dir``.
 
-    Without ``spark.checkpoint.dir`` only a local master may go on, with a temporary folder of its own.
+    Where it is unset a cluster raises; a local session, whose one process sees the same disk, gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="voxgauge-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="voxgauge-"))
+            atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
+        root = _local_root[0]
     return f"{root.rstrip('/')}/voxgauge/{name}-{uuid.uuid4().hex}"
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from voxgauge import schema
 from voxgauge.functions import text as tx
 from voxgauge.functions.batch import BatchFunction, batch_udf
+from voxgauge.session import stored
 from voxgauge.sources.rejects import first_reason
 
 # Logical name and column of the retailer export.
@@ -197,3 +198,20 @@ def read_images(spark: SparkSession, directory: str, extract: BatchFunction) ->
         .select("path", recognise("content").alias("text"))
     )
     return stage_image_texts(images)
+
+
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """Rows with ``place``, from 1 in the given order.
+
+    They are sorted by range and written once; a row's place is its place in its range plus the sizes of the ranges
+    before, of which there are few. No task sees all rows.
+    """
+    spark = df.sparkSession
+    ranged = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    ranged = stored(spark, "numbered", ranged)
+    part, within = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return placed.select(*df.columns, (F.col("_before") + within + 1).alias("place"))

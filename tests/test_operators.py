@@ -340,10 +340,15 @@ def test_retrieval_scores(spark):
 
 
 def test_score_cases(spark):
-    cases = spark.createDataFrame([(1, ["A"]), (2, ["A"]), (3, None)], "question_id int, relevant_reviews array<string>")
-    hits = spark.createDataFrame([(1, 1, "B", 0.7), (1, 2, "A", 0.9), (3, 1, "A", 0.1)], "question_id int, rank int, product_id string, distance double")
+    rows = [(1, "Which one?", ["A"]), (2, "Which one?", ["A"]), (3, "Which one?", None), (4, "What do people love here?", ["A"]),
+            (5, "What do people love here?", ["A"])]
+    cases = spark.createDataFrame(rows, "question_id int, question string, relevant_reviews array<string>")
+    hits = [(1, False, 1, "B", 0.7), (1, False, 2, "A", 0.9), (3, False, 1, "A", 0.1)]
+    hits += [(4, False, 1, "A", 0.1), (4, True, 1, "B", 0.2), (4, True, 2, "A", 0.9), (5, False, 1, "A", 0.1)]
+    hits = spark.createDataFrame(hits, "question_id int, filtered boolean, rank int, product_id string, distance double")
     got = {r.question_id: (r.precision, r.mrr, r.refused) for r in ev.score_cases(cases, hits).collect()}
-    assert got == {1: (0.5, 0.5, True), 2: (0.0, 0.0, True)}
+    # 4 is scored on what its wish leaves, 5 is refused as the wish leaves nothing.
+    assert got == {1: (0.5, 0.5, True), 2: (0.0, 0.0, True), 4: (0.5, 0.5, False), 5: (0.0, 0.0, True)}
 
 
 def test_judge_bodies(spark):
@@ -363,7 +368,9 @@ def test_summary(spark):
     got = {r.category: r for r in ev.summary(df).collect()}
     assert got["a"].avg_precision == 0.75 and got["a"].answer_relevance == 0.5 and got["a"].no_answer_accuracy is None
     assert got["n"].avg_precision is None and got["n"].no_answer_accuracy == 0.5
-    assert got[None].n == 4 and got[None].avg_latency == 2.0
+    assert got[None].n == 4 and got[None].avg_latency == 2.0 and got[None].overall
+    named = ev.summary(df.withColumn("category", F.when(F.col("category") == "a", "a"))).where("category is null").collect()
+    assert sorted((r.overall, r.n) for r in named) == [(False, 2), (True, 4)]
 
 
 def test_annotations(spark):
@@ -372,6 +379,10 @@ def test_annotations(spark):
     got = {r.question_id: r.relevant_reviews for r in ev.merge_annotations(cases, decisions).collect()}
     assert got == {1: ["x"], 2: [], 3: None}
     assert ev.annotated(cases).count() == 1 and ev.unannotated(cases).count() == 2
+    same = ev.merge_annotations(cases, decisions.union(decisions))
+    assert same.count() == 3
+    with pytest.raises(Exception, match="two decisions"):
+        ev.merge_annotations(cases, decisions.union(spark.createDataFrame([(2, ["z"])], decisions.schema))).collect()
 
 
 def test_thresholds_and_verdicts(spark, values):

@@ -1,10 +1,12 @@
 import json
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from voxgauge import schema
 from voxgauge.operators import upsert as up
+from voxgauge.plans.enrich import INDEX, index_rows
 from voxgauge.sources import cases as cs, pages as pg, rejects as rj, reviews as rv, sinks
 from voxgauge.streaming.ingest import start_ingest
 
@@ -227,10 +229,97 @@ def test_incremental_ingest_replays_are_harmless(spark, tmp_path):
     put("2.jsonl", [{"text": "new", "asin": "A", "user_id": "u", "timestamp": 1}, {"text": "two", "asin": "B"}, {"text": ""}])
     assert load() == {"A": "new", "B": "two"}
     assert load() == {"A": "new", "B": "two"}
-    counted = spark.read.schema("source string, reject_reason string, n_rows long, batch int").json(rejects)
+    counted = spark.read.schema("source string, reject_reason string, n_rows long, batch int").json(rejects).drop("writer")
     assert [tuple(r) for r in counted.collect()] == [("json", "no_text", 1, 1)]
 
 
+def test_lines_that_one_parser_refuses(spark):
+    lines = [
+        '{"text": "odd number", "asin": "N", "rating": NaN}',
+        '{"text": "first", "asin": "R", "text": "last"}',
+        '{"text": "no time", "asin": "Z", "user_id": "u", "timestamp": null}',
+        '{"text": "a point", "asin": "F", "user_id": "u", "timestamp": 1588687728923.0}',
+        '{"text": "broken", "asin": "B"',
+    ]
+    rows = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = {r.product_id: r for r in rj.accepted(rv.stage_json(rows)).collect()}
+    assert set(got) == {"N", "R", "Z", "F"} and got["R"].text_raw == "last" and got["N"].rating != got["N"].rating
+    ids = spark.range(1).select(*[schema.review_id("json", F.lit(x)) for x in ("uNone", "u1588687728923.0")]).first()
+    assert (got["Z"].review_id, got["F"].review_id) == tuple(ids) and got["F"].review_date == date(2020, 5, 5)
+
+
+def test_csv_files_of_two_headers_fail(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.csv", "review_id,product_id,review_text,star_rating,review_date\nr1,P1,good,5,2024-03-12\n")
+    write(tmp_path / "in" / "b.csv", "product_id,review_id,review_text,star_rating,review_date\nP2,r2,fine,4,2024-03-12\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        rj.accepted(rv.read_csv(spark, str(tmp_path / "in"))).collect()
+
+
+def test_epoch_start_is_exported(spark, tmp_path):
+    raw = spark.createDataFrame([("u", 0, "P", None, "t", 5.0)], "user_id string, timestamp long, parent_asin string, asin string, text string, rating double")
+    sinks.export_csv(raw, str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).first().review_date == "1970-01-01"
+
+
+def test_links_are_decoded_and_resolved(spark):
+    page = """<ul class="pg-w"><a href="?page=2&amp;q=a#top">2</a></ul><a href=/lamp-9.html>lamp</a>
+    <a class=x href='lamp-8.html'>b</a><a href="//cdn.example/lamp-7.html">c</a><a href="https://o.example/lamp-6.html">d</a>"""
+    rows = [(page, f"https://{h}.example/home/lamps?x=1") for h in ("one", "two")]
+    df = spark.createDataFrame(rows, "html string, url string")
+    expected = set()
+    for host in ("https://one.example", "https://two.example"):
+        expected |= {("pagination", f"{host}/home/lamps?page=2&q=a"), ("product", f"{host}/lamp-9.html"),
+                     ("product", f"{host}/home/lamp-8.html")}
+    expected |= {("product", "https://cdn.example/lamp-7.html"), ("product", "https://o.example/lamp-6.html")}
+    assert {(r.kind, r.link) for r in pg.discovered_links(df, url="url").collect()} == expected
+
+
+def test_marker_with_entities(spark):
+    block = "<div class=cola></div><div class='cola'><article><h3>T &amp; U</h3><p>Body</p><i>Achat v&eacute;rifi&eacute;</i></article></div>"
+    got = rj.accepted(pg.stage_pages(spark.createDataFrame([("P", block)], "product_id string, html string"))).first()
+    assert got.metadata.verified_purchase and got.text_raw == "T & U. Body"
+
+
+def python_stages(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("ArrowEvalPython")
+
+
+def test_python_runs_once(spark, tmp_path):
+    (tmp_path / "img").mkdir()
+    (tmp_path / "img" / "a.jpg").write_bytes(b"seen")
+
+    def recognise(batches):
+        for images in batches:
+            yield images.map(lambda b: b.decode())
+
+    images = rj.accepted(rv.read_images(spark, str(tmp_path / "img"), recognise))
+    pages = spark.createDataFrame([("P", "<div class='cola'><article><p>a &amp; b</p></article></div>")], "product_id string, html string")
+    assert images.first().text_raw == "seen"
+    assert python_stages(images) == 1 and python_stages(rj.accepted(pg.stage_pages(pages))) == 1
+
+
+def test_writers_do_not_touch_each_other(spark, tmp_path):
+    root, src = str(tmp_path / "ix"), tmp_path / "in"
+    src.mkdir()
+    bulk = spark.createDataFrame([(f"b{i}", f"text {i}") for i in range(100)], "review_id string, text_raw string")
+    bulk = bulk.selectExpr("*", "'P' AS product_id", "'json' AS source", "CAST(NULL AS STRING) AS text_clean", "1.0D AS rating")
+    up.write_batch(index_rows(bulk), root, 0)
+    write(src / "1.jsonl", json.dumps({"text": "one", "asin": "A", "user_id": "u", "timestamp": 1}))
+    for state in ("first", "lost and new"):
+        start_ingest(spark, str(src), root, str(tmp_path / state), lambda r: r).awaitTermination()
+    assert up.read_index(spark, root, schema=INDEX).count() == 101
+    later = index_rows(bulk.limit(1).withColumn("language", F.lit("en")))
+    up.write_batch(later, root, 0, "tags")
+    up.write_batch(index_rows(bulk.withColumn("text_raw", F.lit("second"))), root, 1)
+    up.write_batch(later, root, 0, "tags")  # a replay keeps its place before the load that came after it
+    read = up.read_index(spark, root, schema=INDEX)
+    assert read.where("document = 'second'").count() == 100 and read.columns == INDEX.names
+    with pytest.raises(ValueError):
+        up.write_batch(later, root, 0, "a/b")
+
+
 def test_shared_path_needs_a_shared_folder(spark):
     from voxgauge.session import shared_path
 

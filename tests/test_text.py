@@ -1,5 +1,6 @@
 import html
 import re
+import random
 from datetime import date
 
 import pytest
@@ -159,3 +160,18 @@ def test_report_shapes(values):
 
 def test_language_gate(values):
     assert values(tx.long_enough, ["Love it", "x" * 20, " " * 30]) == [False, True, False]
+
+
+def test_more_written_dates(values):
+    day = date(2024, 3, 12)
+    read = ["12-Mar-2024", "2024.03.12", "03/12/24", "March 12, 2024 10:30", "Tue, 12 Mar 2024", "2024-03-12 9:05 pm",
+            "Tuesday 12 March 2024", "2024-03-12 23:59:59.5+02:00"]
+    assert values(tx.free_date, read) == [day] * len(read)
+    assert values(tx.free_date, ["2024-03", "1/2/69", "1/2/68"]) == [date(2024, 3, 1), date(1969, 1, 2), date(2068, 1, 2)]
+    assert values(tx.free_date, ["Mayday 5, 2024", "2024-03-12 99:99", "Marching 5, 2024", "12:30", "2024-13"]) == [None] * 5
+
+
+def test_two_decimals_round_the_number(values):
+    rng = random.Random(4)
+    numbers = [0.155, 0.005, 0.125, 0.375, 0.0, 1.0, 2.675, *[rng.random() for _ in range(300)]]
+    assert values(tx.two_decimals, numbers, "double") == [f"{x:.2f}" for x in numbers]

@@ -168,7 +168,7 @@ def csv_reviews(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""WITH {SQL_JSON}
     SELECT sha1('csv:u' || doc_id || ms) AS review_id, product_id, md5(text) AS text_md5,
-      (n_chars % 5 + 1)::DOUBLE AS rating, CASE WHEN ms <> 0 THEN epoch_ms(ms)::DATE END AS review_date
+      (n_chars % 5 + 1)::DOUBLE AS rating, epoch_ms(ms)::DATE AS review_date
     FROM (SELECT doc_id, n_chars, CASE source WHEN 'src3' THEN NULL WHEN 'src2' THEN 'asrc2' ELSE source END AS product_id,
             CASE WHEN source = 'src1' THEN '' ELSE text END AS text,
             CASE WHEN source = 'src4' THEN 0 ELSE n_chars * 86400000 + 1500000000123 END AS ms FROM documents)
@@ -283,13 +283,13 @@ def review_page_html() -> Column:
         F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (n % 1000).cast("int")), "dd-MM-yyyy")
     )
     return F.concat(
-        F.lit('<html><body><article><h3>Outside</h3></article><div class="row cola"><div><article class="-pvm">'),
-        F.lit('<div class="stars _m">'), (n % 5 + 1).cast("string"), F.lit(' out of 5<div class="in"></div></div>'),
-        F.lit('<h3 class="-m"> Opinion '), F.col("doc_id").cast("string"), F.lit(" </h3>"),
-        F.lit('<p class="-pvm">'), tx.xml_escape("text"), F.lit("</p>"),
-        F.lit('<div class="-df"><div class="-pvm"><span class="-prm">'), day,
+        F.lit('<html><body><article><h3>Outside</h3></article><div class="list cola"><div><article class="item">'),
+        F.lit('<div class="big stars">'), (n % 5 + 1).cast("string"), F.lit(' out of 5<b></b></div>'),
+        F.lit('<h3> Opinion '), F.col("doc_id").cast("string"), F.lit(" </h3>"),
+        F.lit('<p>'), tx.xml_escape("text"), F.lit("</p>"),
+        F.lit('<div><div class="-pvm"><span>'), day,
         F.lit("</span><span>par Ann par "), F.col("lang"), F.lit("</span></div><div>"),
-        F.when(F.col("source") == "src2", "Achat vérifié").otherwise(""),
+        F.when(F.col("source") == "src2", F.when(n % 2 == 0, "Achat vérifié").otherwise("Achat v&eacute;rifi&eacute;")).otherwise(""),
         F.lit("</div></div></article></div><article><h3></h3><p> . </p></article></div>"),
         F.lit("<article><p>Also outside</p></article></body></html>"),
     )
@@ -343,25 +343,30 @@ def pages_with_pager(spark: SparkSession, sf: str) -> DataFrame:
     """The stored pages with a pager and two product links put before the end."""
     shelf = (F.col("page_id") % 20).cast("string")
     tail = F.concat(
-        F.lit('<div class="pg-w -mh"><a class="pg" href="/shelf?page='), shelf, F.lit('#x">next</a><a href="/all">all</a></div>'),
-        F.lit('<a href="/phone-'), shelf, F.lit('.html">phone</a><a href="/about.html">about</a>'),
+        F.lit('<div class="pg-w -mh"><a class="pg" href="/shelf?sort=new&amp;page='), shelf, F.lit('#x">next</a><a href="/shelf?page='),
+        shelf, F.lit('&amp;q=1">more</a><a href="/all">all</a></div>'),
+        F.lit('<a href=/phone-'), shelf, F.lit('.html>phone</a><a href="/about.html">about</a>'),
     )
-    return table(spark, sf, "pages").select("page_id", "url", F.concat("html", tail).alias("html"))
+    host = F.concat(F.lit("https://shop"), (F.col("page_id") % 2).cast("string"), F.lit(".example/list/all?x=1"))
+    return table(spark, sf, "pages").select("page_id", host.alias("url"), F.concat("html", tail).alias("html"))
 
 
 @query(
-    r"""WITH s AS (SELECT DISTINCT page_id % 20 AS k FROM pages),
-    h AS (SELECT unnest(regexp_extract_all(html, '(?i)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS link FROM pages)
-    SELECT 'pagination' AS kind, '/shelf?page=' || k || '#x' AS link FROM s
-    UNION SELECT 'product', '/phone-' || k || '.html' FROM s
-    UNION SELECT 'product', link FROM h WHERE regexp_matches(link, '-\d+\.html')"""
+    r"""WITH s AS (SELECT DISTINCT page_id % 20 AS k, 'https://shop' || (page_id % 2) || '.example' AS host FROM pages),
+    h AS (
+      SELECT 'https://shop' || (page_id % 2) || '.example' AS host, replace(unnest(
+        regexp_extract_all(html, '(?i)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']', 1)), '&amp;', '&') AS link FROM pages)
+    SELECT 'pagination' AS kind, host || '/shelf?page=' || k || '&q=1' AS link FROM s
+    UNION SELECT 'product', host || '/phone-' || k || '.html' FROM s
+    UNION SELECT 'product', CASE WHEN link LIKE 'http%' THEN link WHEN link LIKE '/%' THEN host || link ELSE host || '/list/' || link END
+    FROM h WHERE regexp_matches(link, '-\d+\.html')"""
 )
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
-    return pg.discovered_links(pages_with_pager(spark, sf))
+    return pg.discovered_links(pages_with_pager(spark, sf), url="url")
 
 
 @query(
-    r"""SELECT link, count(*) AS n FROM (
+    r"""SELECT replace(link, '&amp;', '&') AS link, count(*) AS n FROM (
       SELECT unnest(regexp_extract_all(html, '(?i)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS link FROM pages)
     GROUP BY 1"""
 )

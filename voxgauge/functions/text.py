@@ -135,15 +135,28 @@ def year_month_day(c: Column | str) -> Column:
     return bind(strip(c), read)
 
 
-YEAR_FIRST = r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}([T ].*)?$"
-YEAR_LAST = r"^[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}( .*)?$"
-COMPACT = r"^[0-9]{8}$"
-MONTH_NAMED = r"^([A-Za-z]{3,} [0-9]{1,2},?|[0-9]{1,2} [A-Za-z]{3,}) [0-9]{4}$"
+# The names of months and days that a written date may hold, in full or by three letters.
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+MONTH = (
+    "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:tember)?|oct(?:ober)?"
+    "|nov(?:ember)?|dec(?:ember)?)"
+)
+WEEKDAY = r"(?i)^(mon(day)?|tue(sday)?|wed(nesday)?|thu(rsday)?|fri(day)?|sat(urday)?|sun(day)?),? +"
+TIME = r"(?i)[T ] *([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9]([.][0-9]+)?)?( ?[ap]m)?( ?(Z|UTC|[+-][0-9]{2}:?[0-9]{2}))?$"
+YEAR_FIRST = r"^[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}$"
+YEAR_MONTH = r"^[0-9]{4}[-/][0-9]{1,2}$"
+YEAR_LAST = r"^[0-9]{1,2}[-/.][0-9]{1,2}[-/.]([0-9]{4}|[0-9]{2})$"
+COMPACT = r"^[0-9]{8}$"
+MONTH_FIRST = rf"(?i)^{MONTH}[.]? [0-9]{{1,2}},? [0-9]{{4}}$"
+DAY_FIRST = rf"(?i)^[0-9]{{1,2}}[- ]{MONTH}[.]?,?[- ][0-9]{{4}}$"
 
 
 def free_date(c: Column | str) -> Column:
-    """Date in one of the usual written forms, else null. The month comes first where both orders fit."""
+    """Date in one of the usual written forms, else null. The month comes first where both orders fit.
+
+    A weekday before the date and a time of day behind it are passed over; a time that no clock shows makes it no date. Years
+    of two digits are those from 1969 to 2068.
+    """
     months = F.array(*[F.lit(m) for m in MONTHS])
 
     def read(t: Column) -> Column:
@@ -152,19 +165,23 @@ def free_date(c: Column | str) -> Column:
 
         def by_shape(n: Column) -> Column:
             a, b, y = F.get(n, 0), F.get(n, 1), F.get(n, 2)
+            short = t.rlike(r"[^0-9][0-9]{2}$")
+            year = F.when(short, y + F.when(y < 69, 2000).otherwise(1900)).otherwise(y)
             return (
                 F.when(t.rlike(YEAR_FIRST), calendar_date(a, b, y))
-                .when(t.rlike(YEAR_LAST), F.coalesce(calendar_date(y, a, b), calendar_date(y, b, a)))
+                .when(t.rlike(YEAR_MONTH), calendar_date(a, b, F.lit(1)))
+                .when(t.rlike(YEAR_LAST), F.coalesce(calendar_date(year, a, b), calendar_date(year, b, a)))
                 .when(
                     t.rlike(COMPACT),
                     calendar_date(_slice_number(t, 1, 4), _slice_number(t, 5, 2), _slice_number(t, 7, 2)),
                 )
-                .when(t.rlike(MONTH_NAMED), calendar_date(b, month, a))
+                .when(t.rlike(MONTH_FIRST) | t.rlike(DAY_FIRST), calendar_date(b, month, a))
             )
 
         return bind(_numbers(t), by_shape)
 
-    return bind(strip(c), read)
+    day = F.regexp_replace(F.regexp_replace(strip(c), TIME, ""), WEEKDAY, "")
+    return bind(day, read)
 
 
 def epoch_ms_date(c: Column | str) -> Column:

@@ -80,27 +80,32 @@ def stage_pages(pages: DataFrame, product_id: str = "product_id", html: str = "h
         return F.coalesce(F.get(nodes, 0), F.lit(""))
 
     b = F.col("block")
+    # A marker may be written with entities; most blocks show it as it is, or hold no ampersand.
+    plain = F.regexp_replace(b, "<[^>]*>", "")
+    hidden = F.when(~b.contains(VERIFIED_MARK) & b.contains("&"), plain).otherwise("")
+    spans = F.flatten(
+        F.transform(_all(b, rf"(?is)<div\b{has_class('-pvm')}>(.*?)</div\s*>", 1), lambda d: text_nodes(d, "span"))
+    )
+    parts = [first(text_nodes(b, "h3")), first(text_nodes(b, "p")), F.coalesce(F.get(spans, 0), F.lit("")),
+             F.coalesce(F.get(spans, 1), F.lit("")), hidden]
     found = page_blocks(pages, html).select(
         F.col(product_id).alias("product_id"),
-        b.contains(VERIFIED_MARK).alias("verified"),
+        b.contains(VERIFIED_MARK).alias("marked"),
         F.regexp_extract(b, rf"(?is)<div\b{has_class('stars')}>([^<]*)", 1).alias("stars"),
-        first(text_nodes(b, "h3")).alias("title"),
-        first(text_nodes(b, "p")).alias("body"),
-        F.flatten(
-            F.transform(
-                _all(b, rf"(?is)<div\b{has_class('-pvm')}>(.*?)</div\s*>", 1), lambda d: text_nodes(d, "span")
-            )
-        ).alias("spans"),
+        tx.decode_entities(F.concat_ws("\u0001", *parts)).alias("parts"),  # one decoding for all of them
     )
-    found = found.select(
+    parts = F.split("parts", "\u0001")
+    decoded = F.struct(
         "product_id",
-        "verified",
+        (F.col("marked") | parts[4].contains(VERIFIED_MARK)).alias("verified"),
         "stars",
-        tx.strip(tx.decode_entities("title")).alias("title"),
-        tx.strip(tx.decode_entities("body")).alias("body"),
-        tx.decode_entities(F.coalesce(F.get("spans", 0), F.lit(""))).alias("day"),
-        tx.author_name(tx.decode_entities(F.coalesce(F.get("spans", 1), F.lit("")))).alias("author"),
-    ).withColumn("text", tx.merge_title("title", "body"))
+        tx.strip(parts[0]).alias("title"),
+        tx.strip(parts[1]).alias("body"),
+        parts[2].alias("day"),
+        tx.author_name(parts[3]).alias("author"),
+    )
+    # Out through a generator: a filter on the reject reason would otherwise repeat the decoding below it.
+    found = found.select(F.inline(F.array(decoded))).withColumn("text", tx.merge_title("title", "body"))
     original = F.concat_ws(":", F.coalesce("product_id", F.lit("None")), "day", "author", "title")
     return schema.conform(
         found.select(
@@ -121,7 +126,33 @@ def stage_pages(pages: DataFrame, product_id: str = "product_id", html: str = "h
 
 
 def links(html: Column | str) -> Column:
-    return _all(tx.col(html), r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']""", 1)
+    """Targets of the page's links as written, entities decoded, with quotes or without."""
+    quoted = r"""["']([^"']*)["']"""
+    found = _all(tx.col(html), rf"""(?i)<a\b[^>]*?\bhref\s*=\s*(?:{quoted}|([^\s"'>]+))""", 0)
+    bare = r"""(?is)^<a\b.*?\bhref\s*=\s*["']?|["']$"""
+    return F.transform(found, lambda u: decode_link(F.regexp_replace(u, bare, "")))
+
+
+def decode_link(u: Column) -> Column:
+    """The entities that links hold."""
+    for entity, char in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        u = F.replace(u, F.lit(entity), F.lit(char))
+    return u
+
+
+def resolved(link: Column, base: Column) -> Column:
+    """A link as seen from the page ``base``, without its fragment."""
+    link, base = F.regexp_replace(link, "#.*$", ""), F.regexp_replace(base, "#.*$", "")
+    host = F.regexp_extract(base, r"^([a-z][a-z0-9+.-]*://[^/?]*)", 1)
+    page = F.regexp_replace(base, r"\?.*$", "")
+    folder = F.when(page == host, F.concat(host, F.lit("/"))).otherwise(F.regexp_replace(page, r"[^/]*$", ""))
+    return (
+        F.when(link.rlike(r"^(?i)[a-z][a-z0-9+.-]*:"), link)
+        .when(link.startswith("//"), F.concat(F.regexp_extract(base, "^([a-z]+:)", 1), link))
+        .when(link.startswith("/"), F.concat(host, link))
+        .when(link.startswith("?") | (link == ""), F.concat(page, link))
+        .otherwise(F.concat(folder, link))
+    )
 
 
 def pager_links(html: Column | str, container: str = "pg-w") -> Column:
@@ -139,13 +170,16 @@ def reviews_link(html: Column | str) -> Column:
     return F.get(F.filter(links(html), lambda u: u.contains(REVIEWS_MARK)), 0)
 
 
-def discovered_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Distinct links to follow (``pagination``) or keep (``product``)."""
+def discovered_links(pages: DataFrame, html: str = "html", url: str | None = None) -> DataFrame:
+    """Distinct links to follow (``pagination``) or keep (``product``), absolute if ``url`` names the pages' own column."""
     tagged = F.concat(
         F.transform(pager_links(html), lambda u: F.struct(F.lit("pagination").alias("kind"), u.alias("link"))),
         F.transform(product_links(html), lambda u: F.struct(F.lit("product").alias("kind"), u.alias("link"))),
     )
-    return pages.select(F.explode(tagged).alias("x")).select("x.*").distinct()
+    if url is None:
+        return pages.select(F.explode(tagged).alias("x")).select("x.*").distinct()
+    found = pages.select(F.col(url).alias("base"), F.explode(tagged).alias("x"))
+    return found.select("x.kind", resolved(F.col("x.link"), F.col("base")).alias("link")).distinct()
 
 
 def review_pages(products: DataFrame, pages: DataFrame, host: str) -> DataFrame:

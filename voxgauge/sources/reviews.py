@@ -27,6 +27,12 @@ NULL_TOKENS = [
 
 REPORT_HEADER = "Product ID"
 
+# A line's fields for the parser that reads what the first one refuses.
+JSON_FIELDS = (
+    "text string, parent_asin string, asin string, user_id string, timestamp string, rating double, title string, "
+    "verified_purchase string, helpful_vote string, _broken string"
+)
+
 
 # --- JSON Lines -----------------------------------------------------------------------------------
 
@@ -38,16 +44,29 @@ def stage_json(lines: DataFrame, line: str = "value") -> DataFrame:
     reject reason would otherwise be pushed below the parse and repeat it.
     """
 
-    def fields(v: Column) -> Column:
+    def fields(x: Column) -> Column:
+        v, again, raw = x["v"], x["again"], x["raw"]
+        read = F.when(v.isNull() & again["_broken"].isNull(), again)  # what the first parse refuses and the second reads
+
         def field(name: str, kind: str = "string") -> Column:
-            return F.try_variant_get(v, f"$.{name}", kind)
+            return F.coalesce(F.try_variant_get(v, f"$.{name}", kind), read[name].try_cast(kind))
+
+        def as_text(name: str, missing: str = "") -> Column:
+            """Text as the id takes it: an explicit null is ``None``, a number is as it was written."""
+            at = F.try_variant_get(v, f"$.{name}", "variant")
+            whole = F.when(F.schema_of_variant(at).isin("BIGINT", "STRING"), F.try_variant_get(v, f"$.{name}", "string"))
+            written = tx.non_empty(F.regexp_extract(raw, rf'(?s)^.*"{name}"\s*:\s*([-+.0-9eE]+)', 1))  # a fraction keeps its digits
+            return F.when(F.is_variant_null(at), "None").otherwise(
+                F.coalesce(whole, F.when(at.isNotNull(), written), read[name], F.lit(missing))
+            )
 
         return F.struct(
-            v.isNull().alias("broken"),
+            (v.isNull() & read.isNull()).alias("broken"),
             field("text").alias("text"),
             tx.first_non_empty(field("parent_asin"), field("asin")).alias("product_id"),
             field("user_id").alias("user_id"),
-            field("timestamp", "long").alias("ms"),
+            as_text("timestamp").alias("stamp"),
+            field("timestamp", "double").cast("long").alias("ms"),
             field("rating", "double").alias("rating"),
             schema.metadata(
                 title=field("title"),
@@ -57,10 +76,12 @@ def stage_json(lines: DataFrame, line: str = "value") -> DataFrame:
         )
 
     filled = lines.where(F.length(tx.strip(line)) > 0)
-    rows = filled.select(F.inline(F.transform(F.array(F.try_parse_json(line)), fields)))
-    original = F.concat(
-        F.coalesce("user_id", F.lit("")), F.coalesce(F.col("ms").cast("string"), F.lit(""))
-    )
+    parsed = F.try_parse_json(line)
+    # Lines that hold NaN or a name twice: a second parser reads them as the original does, the last of a name counting.
+    again = F.when(parsed.isNull(), F.from_json(line, JSON_FIELDS, {"columnNameOfCorruptRecord": "_broken"}))
+    both = F.struct(parsed.alias("v"), again.alias("again"), F.col(line).alias("raw"))
+    rows = filled.select(F.inline(F.transform(F.array(both), fields)))
+    original = F.concat(F.coalesce("user_id", F.lit("")), "stamp")
     return schema.conform(
         rows.select(
             schema.review_id(schema.SOURCE_JSON, original).alias("review_id"),
@@ -120,12 +141,16 @@ def stage_csv(rows: DataFrame, columns: dict[str, str] = CSV_COLUMNS) -> DataFra
 def read_csv(
     spark: SparkSession, path: str, columns: dict[str, str] = CSV_COLUMNS, multi_line: bool = True
 ) -> DataFrame:
-    """``multi_line=False`` lets Spark split big files; use it when no cell holds a line break."""
+    """All files must have one header: one with other columns, or in another order, fails.
+
+    With ``multi_line`` a file is one task; without it Spark splits big files. Use that when no cell holds a line break.
+    """
     rows = (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        .option("enforceSchema", False)
         .csv(path)
     )
     return stage_csv(rows, columns)
@@ -171,6 +196,8 @@ def stage_report(rows: DataFrame, cells: str = "cells") -> DataFrame:
 
 def stage_image_texts(rows: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     """Reviews from recognised texts. The product is unknown, so the file stem stands for it."""
+    # Out through a generator: a filter on the reject reason would otherwise repeat a recogniser below it.
+    rows = rows.select(F.inline(F.array(F.struct(F.col(path).alias(path), F.col(text).alias(text)))))
     return schema.conform(
         rows.where(F.col(path).rlike(r"\.(jpg|png)$")).select(
             schema.review_id(schema.SOURCE_IMAGE, tx.file_name(path)).alias("review_id"),

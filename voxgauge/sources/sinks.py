@@ -14,13 +14,13 @@ def write_reviews_json(reviews: DataFrame, path: str) -> None:
 
 
 def export_csv(raw: DataFrame, path: str) -> None:
-    """Retailer export of raw JSON reviews: derived id, product and ISO date, with a header."""
+    """Retailer export of raw JSON reviews: derived id, product and ISO date, with a header. Time 0 is a day like others."""
     rows = raw.select(
         F.concat(F.col("user_id"), F.col("timestamp").cast("string")).alias("review_id"),
         tx.first_non_empty("parent_asin", "asin").alias("product_id"),
         F.col("text").alias("review_text"),
         F.col("rating").alias("star_rating"),
-        F.date_format(tx.epoch_ms_date("timestamp"), "yyyy-MM-dd").alias("review_date"),
+        F.date_format(tx.epoch_s_date(F.floor(F.col("timestamp") / 1000)), "yyyy-MM-dd").alias("review_date"),
     )
     (
         rows.write.option("header", True)

@@ -129,11 +129,14 @@ def test_approximate_search_recall(spark):
     exact, near = result(knn.nearest(qd, cd, cells=30)), result(knn.nearest(qd, cd, cells=30, probes=6))
     recall = np.mean([len(set(exact[i]) & set(near[i])) / 5 for i in exact])
     assert recall > 0.9
+    assert knn._grid(cd.select(F.col("review_id").alias("id"), F.col("embedding").alias("vec"), F.lit(0).alias("tags")), 2000, "cosine", 1500).cells == 1500
+    with pytest.raises(ValueError):
+        knn.nearest(qd, cd, probes=2)
 
 
 def test_tfidf_search_equals_brute_force(spark):
     docs = spark.read.parquet(DOCS).select(F.col("doc_id").alias("review_id"), "text").where("review_id < 60")
-    vectors = em.embed_tfidf(em.fit_tfidf(docs, dim=64), docs).select("review_id", "embedding").orderBy("review_id")
+    vectors = em.embed_tfidf(docs, dim=64).orderBy("review_id")
     rows = vectors.collect()
     m, ids = np.asarray([r.embedding for r in rows]), [r.review_id for r in rows]
     asked = vectors.select(F.col("review_id").alias("question_id"), "embedding")

@@ -1,9 +1,10 @@
-"""Every registered query against its SQL on the smallest data."""
+"""Every registered query of the catalog against its SQL on the smallest data."""
 
 import pytest
 
 import __spark_entry__ as entry
 import check
+from voxgauge import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def database():
     return check.database(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_sql(spark, database, name):
     ok, note = check.compare(spark, database, SF, name)
     assert ok, note

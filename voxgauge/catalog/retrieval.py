@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voxgauge.catalog.registry import query, table
-from voxgauge.operators.embed import embed_tfidf, fit_tfidf
+from voxgauge.operators.embed import embed_tfidf
 from voxgauge.operators.knn import label_bits, nearest, wish_bits
 from voxgauge.plans import answer as qa, evaluate as ev
 from voxgauge.plans.enrich import filled, index_rows
@@ -198,21 +198,55 @@ def knn_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("question_id", F.col("rank").cast("long").alias("rank"), "review_id", rounded("distance"))
 
 
-@query()
+@query(
+    f"""
+WITH {V},
+near_pivots AS (
+  SELECT c.vec_id, p.vec_id AS pivot,
+    row_number() OVER (PARTITION BY c.vec_id ORDER BY list_cosine_distance(c.e, p.e), p.vec_id) AS r
+  FROM v c, v p WHERE p.vec_id % 25 = 0),
+pairs AS (
+  SELECT q.vec_id AS question_id, c.vec_id AS review_id, round(1 - list_cosine_similarity(a.e, b.e), 9) AS distance
+  FROM near_pivots q JOIN near_pivots c ON q.pivot = c.pivot AND q.r <= 2 AND c.r = 1 AND q.vec_id <> c.vec_id
+  JOIN v a ON a.vec_id = q.vec_id JOIN v b ON b.vec_id = c.vec_id)
+SELECT question_id, rank, review_id, round(distance, 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY distance, review_id) AS rank FROM pairs)
+WHERE rank <= 5"""
+)
 def knn_approximate(spark: SparkSession, sf: str) -> DataFrame:
-    """Searches two of the cells only; recall against the exact search is measured in the tests."""
+    """Two of many cells only, around every twenty-fifth vector; recall against the exact search is measured in the tests."""
     asked = questions(spark, sf).drop("question")
     corpus = table(spark, sf, "embeddings").select(F.col("vec_id").alias("review_id"), "embedding")
-    return nearest(asked, corpus, probes=2)
+    hits = nearest(asked, corpus, probes=2, pivots=corpus.where(F.col("review_id") % 25 == 0))
+    return hits.select("question_id", F.col("rank").cast("long").alias("rank"), "review_id", rounded("distance"))
 
 
-@query()
+@query(
+    r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM documents),
+cells AS (SELECT doc_id, ('0x' || left(md5(w), 8))::BIGINT % 256 AS cell, count(*) AS tf FROM words GROUP BY ALL),
+idf AS (SELECT cell, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) AS idf FROM cells GROUP BY 1),
+weighed AS (SELECT doc_id, cell, tf * idf AS x FROM cells JOIN idf USING (cell) WHERE idf > 0),
+norms AS (SELECT doc_id, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY 1),
+dots AS (
+  SELECT a.doc_id AS question_id, b.doc_id AS review_id, sum(a.x * b.x) AS dot
+  FROM weighed a JOIN weighed b USING (cell) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+near AS (
+  SELECT question_id, review_id, 1 - round(dot / (p.norm * q.norm), 9) AS distance
+  FROM dots JOIN norms p ON p.doc_id = question_id JOIN norms q ON q.doc_id = review_id)
+SELECT question_id, rank, round(distance, 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY distance, review_id) AS rank FROM near)
+WHERE rank <= 3"""
+)
 def tfidf_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Distances of each document's three nearest; which one of equally near ones comes first depends on the last digits."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("review_id"), "text")
     # The search reads the vectors several times: they are written once, as an index would hold them.
-    vectors = stored(spark, "vectors", embed_tfidf(fit_tfidf(docs), docs).select("review_id", "embedding"))
+    vectors = stored(spark, "vectors", embed_tfidf(docs).where("exists(embedding, x -> x <> 0)"))
     asked = vectors.select(F.col("review_id").alias("question_id"), "embedding", F.col("review_id").alias("skip"))
-    return nearest(asked, vectors, k=3)
+    hits = nearest(asked, vectors, k=3)
+    return hits.select("question_id", F.col("rank").cast("long").alias("rank"), rounded("distance"))
 
 
 # --- Gate and answers -----------------------------------------------------------------------------

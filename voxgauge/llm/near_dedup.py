@@ -10,9 +10,13 @@ ln c - r (t - b + 1). Two texts agree in a sample with the probability of their
 of ``ROWS`` samples find a pair of similarity 0.8 with probability 0.9992.
 
 Texts of the same words are one node from the start, so copies cost nothing more. In each bucket all nodes are compared
-with one leader, those that are not similar with a next leader, and so on until none is left; a bucket never emits its
-pairs. Leaders are drawn anew per bucket, so two texts that share several buckets meet several leaders. Similar pairs,
-verified on the whole texts, are the links; classes are their connected components.
+with one leader, the node whose buckets are the largest, as is the text that the others were copied from; so a large family
+falls to one component in one step. Buckets that hold several components go on: ``LEADERS`` of a bucket's nodes, most
+alike the others first, are compared with the nodes of other components that they agree with in at least ``AGREED`` of
+all samples (of a pair of similarity 0.8 fewer agree with probability 0.0002); then more of them, until every node has
+led. No pair within a component is compared or emitted, and what is left of a bucket beyond ``BUCKET_ROWS`` rows is split by
+the samples of further bands, so no task holds one without bound. Similar pairs, verified on the whole texts, are the links;
+classes are their connected components.
 """
 
 from __future__ import annotations
@@ -32,6 +36,10 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 CELLS = 1 << 16
+AGREED = 0.5
+BUCKET_ROWS = 2000
+#: Leaders of a bucket in each round after the first; the last lets all lead.
+LEADERS = (4, 32, 256, BUCKET_ROWS)
 #: Texts handled at once; their number fits the bits that keep them apart.
 _SLICE_ROWS = 1024
 
@@ -132,7 +140,8 @@ def samples(keys: np.ndarray, weights: np.ndarray, starts: np.ndarray, count: in
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per row of ``docs``: doc_id, tag (hash of the text), digest (of its words; null without words), weight, bands."""
+    """Per row of ``docs``: doc_id, tag (hash of the text), digest (of its words; null without words), weight, bands,
+    drawn (all samples, 4 bytes each)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
 
@@ -144,9 +153,11 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int =
                 full = np.diff(starts) > 0
                 total = np.zeros(hi - lo)
                 keys_of = np.zeros((hi - lo, bands), np.uint64)
+                all_drawn = np.zeros((hi - lo, bands * rows), np.uint32)
                 if len(keys):
                     total[full] = np.add.reduceat(weights.astype(np.float64), starts[:-1][full])
                     drawn = samples(keys, weights, starts, bands * rows).reshape(-1, bands, rows)
+                    all_drawn[full] = drawn.reshape(-1, bands * rows)
                     folded = np.zeros(drawn.shape[:2], np.uint64)
                     for k in range(rows):
                         folded = mix(folded + drawn[:, :, k])
@@ -160,11 +171,12 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int =
                         pa.array(digest.view(np.int64), mask=~full),
                         pa.array(total),
                         lists,
+                        pa.array([x.tobytes() for x in all_drawn], pa.binary()),
                     ],
-                    ["doc_id", "tag", "digest", "weight", "bands"],
+                    ["doc_id", "tag", "digest", "weight", "bands", "drawn"],
                 )
 
-    return source.mapInArrow(sign, "doc_id long, tag long, digest long, weight double, bands array<long>")
+    return source.mapInArrow(sign, "doc_id long, tag long, digest long, weight double, bands array<long>, drawn binary")
 
 
 def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
@@ -201,52 +213,109 @@ def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: np.nd
     return rows.mapInArrow(compare, "a long, b long, similar boolean")
 
 
+def _led(active: DataFrame, similarity: float) -> DataFrame:
+    """Every other node of a bucket with the bucket's leader, where their totals allow similarity: a, b."""
+    sizes = active.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = active.join(sizes, ["band", "bucket"])
+    central = shared.groupBy("node").agg(F.sum(F.log("n")).alias("central"))
+    # One row per bucket, combined before the shuffle.
+    first = F.max(F.struct("central", F.xxhash64("node").alias("draw"), "node", "weight")).alias("leader")
+    ranked = shared.join(central, "node")
+    leaders = ranked.groupBy("band", "bucket").agg(first)
+    lowest = F.least("weight", "leader.weight") >= (similarity - 1e-9) * F.greatest("weight", "leader.weight")
+    led = active.join(leaders, ["band", "bucket"]).filter((F.col("node") != F.col("leader.node")) & lowest)
+    return led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """Rows (band, bucket, component, ...) of buckets that hold more than one component."""
+    ends = rows.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return rows.join(ends.filter("lo <> hi").select("band", "bucket"), ["band", "bucket"])
+
+
+def _split(spark: SparkSession, rest: DataFrame, nodes: DataFrame, bands: int) -> DataFrame:
+    """Buckets of more than ``BUCKET_ROWS`` rows split by further bands."""
+    rest = rest.join(nodes.select("node", "bands"), "node")
+    for k in range(1, bands):
+        sizes = rest.groupBy("band", "bucket").count().filter(F.col("count") > BUCKET_ROWS).drop("count")
+        if sizes.isEmpty():
+            break
+        large = sizes.withColumn("large", F.lit(True))
+        rest = rest.join(broadcast_if_small(large), ["band", "bucket"], "left")
+        further = F.xxhash64("bucket", F.element_at("bands", F.pmod(F.col("band") + k, F.lit(bands)) + 1))
+        rest = rest.withColumn("bucket", F.when(F.col("large"), further).otherwise(F.col("bucket"))).drop("large")
+        rest = stored(spark, "split", rest)
+    return rest.drop("bands")
+
+
+def _with_leaders(rest: DataFrame, groups: int, leaders: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of the most central nodes of a bucket with nodes of other components that they agree with."""
+
+    def pair(group: pa.Table) -> pa.Table:
+        band, bucket = group.column("band").to_numpy(), group.column("bucket").to_numpy()
+        node, weight, component = (group.column(c).to_numpy() for c in ("node", "weight", "component"))
+        drawn = np.frombuffer(b"".join(group.column("drawn").to_pylist()), np.uint32).reshape(len(node), -1)
+        order = np.lexsort((bucket, band))
+        edge = (np.diff(band[order]) != 0) | (np.diff(bucket[order]) != 0)
+        found = []
+        for rows in np.split(order, np.flatnonzero(edge) + 1):
+            # How often a node's samples occur in the bucket: its agreement with all the others.
+            shared = np.zeros(len(rows))
+            for column in drawn[rows].T:
+                _, which, times = np.unique(column, return_inverse=True, return_counts=True)
+                shared += times[which]
+            rows = rows[np.lexsort((node[rows], -shared))]
+            for i in rows[:leaders]:
+                near = component[rows] != component[i]
+                near &= np.minimum(weight[i], weight[rows]) >= (similarity - 1e-9) * np.maximum(weight[i], weight[rows])
+                others = rows[near]
+                others = others[(drawn[others] == drawn[i]).mean(axis=1) >= AGREED]
+                found.append((np.minimum(node[i], node[others]), np.maximum(node[i], node[others])))
+        a, b = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 2
+        a, b = np.unique(np.stack([a, b]), axis=1) if len(a) else (a, b)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    key = F.pmod(F.xxhash64("band", "bucket"), F.lit(groups))
+    return rest.groupBy(key).applyInArrow(pair, "a long, b long").distinct()
+
+
 def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """Verified pairs (a, b) of nodes. ``nodes``: node, doc_id, tag, weight, bands; each stands for one row of ``docs``."""
-    buckets = nodes.select("node", "weight", F.posexplode("bands").alias("band", "bucket"))
-    active = stored(spark, "buckets", buckets)
-    links_ = None
-    texts = None
-    while True:
-        # The leader of a bucket: first in an order drawn per bucket; one row per bucket, combined before the shuffle.
-        draw = F.struct(F.xxhash64("node", "bucket", "band").alias("draw"), "node", "weight")
-        leaders = active.groupBy("band", "bucket").agg(F.min(draw).alias("leader"), F.count("*").alias("n")).filter("n > 1")
-        led = active.join(leaders, ["band", "bucket"]).filter(F.col("node") != F.col("leader.node")).select(
-            "band",
-            "bucket",
-            "node",
-            "weight",
-            F.least("node", "leader.node").alias("a"),
-            F.greatest("node", "leader.node").alias("b"),
-            # A similarity of s needs totals within a factor of s.
-            (
-                F.least("weight", "leader.weight") >= (similarity - 1e-9) * F.greatest("weight", "leader.weight")
-            ).alias("near"),
-        )
-        led = stored(spark, "led", led)
-        pairs = stored(spark, "pairs", led.filter("near").select("a", "b").distinct())
-        if texts is None and not pairs.isEmpty():
-            # Only texts of nodes that share a bucket with another can ever be compared.
-            involved = led.select("node").union(led.select(F.explode(F.array("a", "b")))).distinct()
-            wanted = nodes.join(involved, "node", "left_semi").select("node", "doc_id", "tag")
-            wanted = broadcast_if_small(stored(spark, "involved", wanted))
-            source = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-            source = source.withColumn("hash", F.xxhash64("text"))
-            same = F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("tag"))
-            texts = stored(spark, "texts", source.join(wanted, same).select("node", "text"))
-            texts = texts.dropDuplicates(["node"])
-        if texts is not None:
-            judged = stored(spark, "judged", verified(spark, pairs, texts, idf, similarity))
-            fresh = judged.filter("similar").select("a", "b")
-            links_ = fresh if links_ is None else links_.unionByName(fresh)
-            done = judged.filter("similar").select("a", "b")
-            rest = led.join(done, ["a", "b"], "left_anti")
-        else:
-            rest = led
-        if rest.isEmpty():
+    """Verified pairs (a, b) of nodes. ``nodes``: node, doc_id, tag, weight, bands, drawn; each stands for a row of ``docs``."""
+    active = nodes.select("node", "weight", F.posexplode("bands").alias("band", "bucket"))
+    active = stored(spark, "buckets", active)
+    alone = active.groupBy("band", "bucket").count().filter("count = 1").select("band", "bucket")
+    # Only texts of nodes that share a bucket with another can ever be compared.
+    shared = stored(spark, "shared", active.join(alone, ["band", "bucket"], "left_anti"))
+    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "tag")
+    wanted = broadcast_if_small(stored(spark, "involved", wanted))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    source = source.withColumn("hash", F.xxhash64("text"))
+    same = F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("tag"))
+    texts = stored(spark, "texts", source.join(wanted, same).select("node", "text")).dropDuplicates(["node"])
+
+    pairs = stored(spark, "pairs", _led(shared, similarity))
+    judged = stored(spark, "judged", verified(spark, pairs, texts, idf, similarity))
+    rest = labels = None
+    for leaders in LEADERS:
+        if labels is None:  # or new links have come
+            labels = components(spark, judged.filter("similar").select("a", "b"))
+            rows = (shared if rest is None else rest.drop("component")).join(labels, "node", "left")
+            rows = _several(rows.withColumn("component", F.coalesce("component", "node")))
+            if rest is None:
+                rows = _several(_split(spark, stored(spark, "rest", rows), nodes, BANDS))
+                rows = rows.join(nodes.select("node", "drawn"), "node")
+            rest = stored(spark, "rest", rows)
+        n, largest = rest.groupBy("band", "bucket").count().agg(F.sum("count"), F.max("count")).first()
+        if not n:
+            break
+        pairs = _with_leaders(rest, 1 + n // 20_000, leaders, similarity).join(judged, ["a", "b"], "left_anti")
+        fresh = stored(spark, "judged", verified(spark, stored(spark, "pairs", pairs), texts, idf, similarity))
+        judged = judged.unionByName(fresh)
+        if leaders >= largest:
             break
-        active = stored(spark, "buckets", rest.select("node", "weight", "band", "bucket"))
-    return links_ if links_ is not None else spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
+        if not fresh.filter("similar").isEmpty():
+            labels = None
+    return judged.filter("similar").select("a", "b")
 
 
 def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -259,10 +328,11 @@ def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
     idf = inverse_frequencies(docs)
     signed = stored(spark, "signatures", signatures(docs, idf))
     copies = signed.filter("digest is not null").groupBy("digest").agg(
-        F.min(F.struct("doc_id", "tag")).alias("first"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
+        F.min(F.struct("doc_id", "tag")).alias("first"),
+        *[F.first(c).alias(c) for c in ("weight", "bands", "drawn")],  # alike in all rows of a digest
     )
     nodes = copies.select(
-        F.monotonically_increasing_id().alias("node"), "digest", "first.doc_id", "first.tag", "weight", "bands"
+        F.monotonically_increasing_id().alias("node"), "digest", "first.doc_id", "first.tag", "weight", "bands", "drawn"
     )
     nodes = stored(spark, "nodes", nodes)
     found = stored(spark, "links", links(spark, docs, nodes, idf, similarity))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from voxgauge.llm.arrow_text import byte_slices
-from voxgauge.llm.shared import fresh_name
+from voxgauge.llm.shared import broadcast_if_small, fresh_name
 
 BUCKETS = 4096
 ORDERS = (2, 3, 4)
@@ -127,8 +127,13 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROID
     rows = labelled.filter(has_letter("text") & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     df, n = document_frequencies(rows)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-    sample = rows.select("lang", "text", F.row_number().over(order).alias("k")).filter(F.col("k") <= fit_rows)
+    # Twice the rows wanted pass a threshold of the hash before anything is shuffled; a small language passes whole.
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
+    draw = F.xxhash64("doc_id", "text")
+    share = F.pmod(draw, F.lit(1 << 30)) / (1 << 30)
+    drawn = rows.join(broadcast_if_small(sizes), "lang").filter(share * F.col("size") <= 2 * fit_rows + 100)
+    order = W.partitionBy("lang").orderBy(share, draw)
+    sample = drawn.select("lang", "text", F.row_number().over(order).alias("k")).filter(F.col("k") <= fit_rows)
 
     def to_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,7 +10,7 @@ training texts, each bigram left out of its own count, are most probable.
 The automaton grows with the corpus, so no task holds it whole. Texts are taken in blocks; a block sends its distinct
 words and bigrams, with their counts in its training texts, to the tasks that add them up by range of hash, and gets the
 totals back in the order it sent them: exactly the arcs and states its own texts visit. A frequent word or bigram is one
-entry per block however often it occurs. Words and bigrams are told apart by 64-bit hashes.
+entry per block however often it occurs. Words are told apart by 64-bit hashes, bigrams by 56 bits, as what is sent grows with them.
 """
 
 from __future__ import annotations
@@ -75,7 +75,7 @@ def _tokens(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> tuple[
 def _bigrams(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     before = np.concatenate([[_START], tokens[:-1]])
     before[(np.cumsum(sizes) - sizes)] = _START
-    return mix(before * np.uint64(0xD1342543DE82EF95) + tokens)
+    return mix(before * np.uint64(0xD1342543DE82EF95) + tokens) >> np.uint64(8)
 
 
 def blocks(docs: DataFrame, ranges: int) -> DataFrame:
@@ -84,38 +84,51 @@ def blocks(docs: DataFrame, ranges: int) -> DataFrame:
     names = [c.strip().split()[0] for c in BLOCK_SCHEMA.split(", ")]
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("train", F.lit(False)).alias("train"), text.alias("text"))
-    edges = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
+    edges = {k: (np.arange(1, ranges, dtype=object) * (1 << bits) // ranges).astype(np.uint64) for k, bits in ((1, 64), (2, 56))}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, number = WordHasher(seed=3), TaskContext.get().partitionId() << 32
+        ids: list[int | None] = []
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def block() -> pa.RecordBatch:
+            tokens, sizes, train = (np.concatenate(c) for c in zip(*parts))
+            learned = np.repeat(train, sizes)
+            out: list[list] = [[] for _ in names]
+
+            def row(*values) -> None:
+                for column, value in zip(out, values):
+                    column.append(value)
+
+            def add(kind: int, keys: np.ndarray, counts: np.ndarray) -> None:
+                cuts = np.searchsorted(keys, edges[kind])
+                for k, (x, n) in enumerate(zip(np.split(keys, cuts), np.split(counts, cuts))):
+                    if len(x):
+                        row(number, kind, k, _press_sorted(x), _press(n.astype(np.uint32)), *[None] * 5)
+
+            words, which = np.unique(tokens, return_inverse=True)
+            add(1, words, np.bincount(which[learned], minlength=len(words)))
+            order = np.argsort(-np.bincount(which), kind="stable")
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order), dtype=np.uint32)
+            texts = _press(words[order]), _press(place[which])
+            pairs, which = np.unique(_bigrams(tokens, sizes), return_inverse=True)
+            add(2, pairs, np.bincount(which[learned], minlength=len(pairs)))
+            row(number, 0, -1, None, None, ids, sizes.tolist(), train.tolist(), *texts)
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, _BLOCK_TYPES)], names)
+
         for batch in batches:
             train = np.asarray(batch.column(1))
-            for lo, hi, data, offsets in byte_slices(batch.column(2), BLOCK_BYTES):
-                tokens, sizes = _tokens(data, offsets, hasher)
-                learned = np.repeat(train[lo:hi], sizes)
-                out: list[list] = [[] for _ in names]
-
-                def add(kind: int, keys: np.ndarray, counts: np.ndarray, out=out) -> None:
-                    cuts = np.searchsorted(keys, edges)
-                    for k, (x, n) in enumerate(zip(np.split(keys, cuts), np.split(counts, cuts))):
-                        if len(x):
-                            row = [number, kind, k, _press_sorted(x), _press(n.astype(np.uint32)), *[None] * 5]
-                            for column, value in zip(out, row):
-                                column.append(value)
-
-                words, which = np.unique(tokens, return_inverse=True)
-                add(1, words, np.bincount(which[learned], minlength=len(words)))
-                order = np.argsort(-np.bincount(which), kind="stable")
-                place = np.empty(len(order), np.uint32)
-                place[order] = np.arange(len(order), dtype=np.uint32)
-                pairs, which_pair = np.unique(_bigrams(tokens, sizes), return_inverse=True)
-                add(2, pairs, np.bincount(which_pair[learned], minlength=len(pairs)))
-                texts = [number, 0, -1, None, None, batch.column(0).slice(lo, hi - lo).to_pylist(), sizes.tolist()]
-                texts += [train[lo:hi].tolist(), _press(words[order]), _press(place[which])]
-                for column, value in zip(out, texts):
-                    column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, _BLOCK_TYPES)], names)
-                number += 1
+            for lo, hi, data, offsets in byte_slices(batch.column(2)):
+                parts.append((*_tokens(data, offsets, hasher), train[lo:hi]))
+                ids += batch.column(0).slice(lo, hi - lo).to_pylist()
+                held += len(data)
+                if held >= BLOCK_BYTES:
+                    yield block()
+                    number, held, ids, parts = number + 1, 0, [], []
+        if ids:
+            yield block()
 
     return rows.mapInArrow(send, BLOCK_SCHEMA)
 
@@ -149,24 +162,19 @@ def totals(sent: DataFrame) -> DataFrame:
     )
 
 
-def traverse(
-    sequence: np.ndarray, sizes: np.ndarray, unigram: np.ndarray, bigram: np.ndarray, n: int, v: int, texts: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Over all tokens: log10 p of the base; and by prior the weight of the path taken, and that without its own count.
+def weights(
+    sizes: np.ndarray, unigram: np.ndarray, bigram: np.ndarray, n: int, v: int, texts: int, prior: float, left_out: bool
+) -> np.ndarray:
+    """Log10 weight of the path from each token's state over the token; ``left_out``: each token out of its own counts.
 
-    ``unigram``, ``bigram``: training counts of each token and of each token with the one before; ``texts``: training texts.
+    ``unigram``, ``bigram``: training counts of each token and of it with the one before; ``texts``: training texts.
     """
-    starts = np.cumsum(sizes) - sizes
     context = np.concatenate([[0], unigram[:-1]]).astype(np.float64)
-    context[starts] = texts
+    context[np.cumsum(sizes) - sizes] = texts
+    if left_out:
+        unigram, bigram, context = (np.maximum(x - 1, 0) for x in (unigram, bigram, context))
     p = (unigram + ADDED) / (n + ADDED * (v + 1))
-    score = np.stack([np.log10((bigram + m * p) / (context + m)) for m in PRIORS])
-    less = np.maximum(unigram - 1, 0) + ADDED
-    without = less / (n + ADDED * (v + 1))
-    left_out = np.stack(
-        [np.log10((np.maximum(bigram - 1, 0) + m * without) / (np.maximum(context - 1, 0) + m)) for m in PRIORS]
-    )
-    return np.log10(p), score, left_out, unigram > 0
+    return np.log10((bigram + prior * p) / (context + prior))
 
 
 def scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -196,20 +204,22 @@ def scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
         sizes = np.array(own["sizes"])
         unigram = by_kind[0][np.argsort(np.argsort(words))][sequence]  # replies are in the order of the hashes
         _, which = np.unique(_bigrams(words[sequence], sizes), return_inverse=True)
-        base, by_prior, left_out, seen = traverse(sequence, sizes, unigram, by_kind[1][which], n, v, train_docs)
-        starts = np.cumsum(sizes) - sizes
-        train = np.array(own["train"])
+        bigram, starts = by_kind[1][which], np.cumsum(sizes) - sizes
         of_text = lambda x: np.add.reduceat(x, starts)
-        lists = lambda x: pa.array(np.stack([of_text(y) for y in x]).T.tolist(), pa.list_(pa.float64()))
+
+        def by_prior(left_out: bool) -> pa.Array:
+            found = [of_text(weights(sizes, unigram, bigram, n, v, train_docs, m, left_out)) for m in PRIORS]
+            return pa.array(np.stack(found).T.tolist(), pa.list_(pa.float64()))
+
         return pa.table(
             {
                 "doc_id": pa.array(own["doc_ids"], pa.int64()),
-                "train": pa.array(train),
+                "train": pa.array(own["train"], pa.bool_()),
                 "n_tokens": pa.array(sizes.astype(np.int64)),
-                "n_known": pa.array(of_text(seen.astype(np.int64))),
-                "base_score": pa.array(of_text(base)),
-                "by_prior": lists(by_prior),
-                "left_out": lists(left_out),
+                "n_known": pa.array(of_text((unigram > 0).astype(np.int64))),
+                "base_score": pa.array(of_text(np.log10((unigram + ADDED) / (n + ADDED * (v + 1))))),
+                "by_prior": by_prior(False),
+                "left_out": by_prior(True),
             }
         )
 

@@ -39,7 +39,7 @@ CELLS = 1 << 16
 AGREED = 0.5
 BUCKET_ROWS = 2000
 #: Leaders of a bucket in each round after the first; the last lets all lead.
-LEADERS = (4, 32, 256, BUCKET_ROWS)
+LEADERS = (8, BUCKET_ROWS)
 #: Texts handled at once; their number fits the bits that keep them apart.
 _SLICE_ROWS = 1024
 

@@ -5,7 +5,7 @@ side, among the places where a word begins (among all characters where none does
 depends on the bytes around it alone: an insertion moves no cut beyond its neighbourhood, equal passages are cut
 alike wherever they stand, and chunks are at least ``RADIUS`` bytes and mostly about twice that.
 
-Chunks are counted by a 128-bit digest, combined before the shuffle. Of equal chunks the one first by (doc_id, place)
+Chunks are counted by a 96-bit digest, combined before the shuffle. Of equal chunks the one first by (doc_id, place)
 stays. Runs of repeated chunks of at least ``MIN_RUN`` bytes are taken out of the text; shorter ones, such as a licence
 line, stay.
 """
@@ -64,15 +64,21 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray, radius: int = RADIUS) ->
     return starts, np.searchsorted(starts, offsets)
 
 
-def _tag(text: Column) -> Column:
-    """31 bits of a text's hash, which tell apart rows of one id."""
-    return F.xxhash64(text).bitwiseAND(0x7FFFFFFF)
+def ids_repeat(docs: DataFrame) -> bool:
+    """Whether several rows share an id; read from the ids alone."""
+    return not docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
 
 
-def chunks(docs: DataFrame) -> DataFrame:
+def _tag(text: Column, needed: bool) -> Column:
+    """31 bits of a text's hash, which tell apart rows of one id; 0 where no id repeats, as random bits take room."""
+    return F.xxhash64(text).bitwiseAND(0x7FFFFFFF) if needed else F.lit(0).cast("long")
+
+
+def chunks(docs: DataFrame, tagged: bool) -> DataFrame:
     """Chunks of ``docs``: digest (d1, d2), doc_id, place (tag of the text in the upper half, first byte in the lower)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tag(text).alias("tag"), text.alias("text"))
+    tag = _tag(text, tagged).alias("tag")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tag, text.alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,26 +90,26 @@ def chunks(docs: DataFrame) -> DataFrame:
                 whole, ends = data.tobytes(), np.append(starts[1:], len(data))
                 digest = hashlib.blake2b
                 found = b"".join(
-                    [digest(whole[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())]
+                    [digest(whole[a:b], digest_size=12).digest() for a, b in zip(starts.tolist(), ends.tolist())]
                 )
-                halves = np.frombuffer(found, "<i8").reshape(-1, 2)
+                parts = np.frombuffer(found, [("d1", "<i8"), ("d2", "<i4")])
                 doc = np.repeat(np.arange(hi - lo), np.diff(before))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.ascontiguousarray(halves[:, 0])),
-                        pa.array(np.ascontiguousarray(halves[:, 1])),
+                        pa.array(np.ascontiguousarray(parts["d1"])),
+                        pa.array(np.ascontiguousarray(parts["d2"])),
                         batch.column(0).slice(lo, hi - lo).take(pa.array(doc)),
                         pa.array((tags[lo:hi][doc] << 32) + starts - offsets[doc]),
                     ],
                     ["d1", "d2", "doc_id", "place"],
                 )
 
-    return rows.mapInArrow(cut, "d1 long, d2 long, doc_id long, place long")
+    return rows.mapInArrow(cut, "d1 long, d2 int, doc_id long, place long")
 
 
-def repeated_chunks(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def repeated_chunks(spark: SparkSession, docs: DataFrame, tagged: bool) -> DataFrame:
     """Chunks that are not the first of their digest: doc_id, tag, start, first_doc_id."""
-    found = stored(spark, "chunks", chunks(docs))
+    found = stored(spark, "chunks", chunks(docs, tagged))
     firsts = found.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("first"))
     firsts = firsts.filter("n > 1").select("d1", "d2", "first")
     own = F.struct("doc_id", "place")
@@ -127,8 +133,9 @@ def dedup(spark: SparkSession, docs: DataFrame, min_run: int = MIN_RUN) -> DataF
     docs = docs.drop(*names)
     key, tag, marks = (fresh_name(docs, x) for x in ("key", "tag", "marks"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    left = docs.withColumns({key: F.col("doc_id").cast("long"), tag: _tag(text)})
-    per_text = repeated_chunks(spark, docs).distinct().groupBy("doc_id", "tag").agg(
+    tagged = ids_repeat(docs)
+    left = docs.withColumns({key: F.col("doc_id").cast("long"), tag: _tag(text, tagged)})
+    per_text = repeated_chunks(spark, docs, tagged).distinct().groupBy("doc_id", "tag").agg(
         F.sort_array(F.collect_list(F.struct("start", "first_doc_id"))).alias(marks)  # bounded by the text
     )
     right = per_text.select(F.col("doc_id").alias("right_key"), F.col("tag").alias("right_tag"), marks)

@@ -209,6 +209,19 @@ def test_near_copies_cases(spark):
     assert near_dedup.dedup(spark, docs.filter("doc_id > 89")).count() == 4
 
 
+def test_near_copies_of_large_buckets(spark, monkeypatch):
+    # Each text resembles only the next one, so a link that is lost parts the chain.
+    monkeypatch.setattr(near_dedup, "BUCKET_ROWS", 2)
+    ws = prose(31, 2000).split()
+    rows = [(i, " ".join(ws[i * 18 : i * 18 + 200])) for i in range(60)]
+    rows += [(100 + i, " ".join(ws[1500 + i * 18 : 1700 + i * 18])) for i in range(12)]
+    docs = table(spark, rows)
+    got = near_dedup.classes(spark, docs).collect()
+    expected = partition(zip([i for i, _ in rows], plain_classes(rows, near_dedup.inverse_frequencies(docs))))
+    assert len(expected) == 2
+    assert partition((r["doc_id"], r["class_id"]) for r in got) == expected
+
+
 def test_samples_follow_the_similarity():
     rng = np.random.default_rng(0)
     common, own = rng.integers(0, 1 << 54, 300, dtype=np.uint64), rng.integers(0, 1 << 54, 60, dtype=np.uint64)

@@ -13,9 +13,11 @@ Texts of the same words are one node from the start, so copies cost nothing more
 with one leader, the node whose buckets are the largest, as is the text that the others were copied from; so a large family
 falls to one component in one step. Buckets that hold several components go on: ``LEADERS`` of a bucket's nodes, most
 alike the others first, are compared with the nodes of other components that they agree with in at least ``AGREED`` of
-all samples (of a pair of similarity 0.8 fewer agree with probability 0.0002); then more of them, until every node has
-led. No pair within a component is compared or emitted, and what is left of a bucket beyond ``BUCKET_ROWS`` rows is split by
-the samples of further bands, so no task holds one without bound. Similar pairs, verified on the whole texts, are the links;
+all samples (of a pair of similarity 0.8 fewer agree with probability 0.0002). Then all nodes outside the bucket's largest
+component are compared with all of other components, so no pair of a bucket is passed over unless it is of one component by
+then. No pair within a component is compared or emitted. A bucket of more than ``BUCKET_ROWS`` rows is dealt into blocks, and
+in the last round each block of leaders meets each block, so no task holds a bucket without bound; the work of that round grows
+with the rows times those outside the largest component. Similar pairs, verified on the whole texts, are the links;
 classes are their connected components.
 """
 
@@ -37,9 +39,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 CELLS = 1 << 16
 AGREED = 0.5
+#: Rows of a bucket that a block holds; a larger bucket is dealt into several.
 BUCKET_ROWS = 2000
-#: Leaders of a bucket in each round after the first; the last lets all lead.
-LEADERS = (8, BUCKET_ROWS)
+#: Leaders of a block in each round after the first; in the last (None) all lead that are not of the largest component.
+LEADERS = (8, None)
 #: Texts handled at once; their number fits the bits that keep them apart.
 _SLICE_ROWS = 1024
 
@@ -233,32 +236,40 @@ def _several(rows: DataFrame) -> DataFrame:
     return rows.join(ends.filter("lo <> hi").select("band", "bucket"), ["band", "bucket"])
 
 
-def _split(spark: SparkSession, rest: DataFrame, nodes: DataFrame, bands: int) -> DataFrame:
-    """Buckets of more than ``BUCKET_ROWS`` rows split by further bands."""
-    rest = rest.join(nodes.select("node", "bands"), "node")
-    for k in range(1, bands):
-        sizes = rest.groupBy("band", "bucket").count().filter(F.col("count") > BUCKET_ROWS).drop("count")
-        if sizes.isEmpty():
-            break
-        large = sizes.withColumn("large", F.lit(True))
-        rest = rest.join(broadcast_if_small(large), ["band", "bucket"], "left")
-        further = F.xxhash64("bucket", F.element_at("bands", F.pmod(F.col("band") + k, F.lit(bands)) + 1))
-        rest = rest.withColumn("bucket", F.when(F.col("large"), further).otherwise(F.col("bucket"))).drop("large")
-        rest = stored(spark, "split", rest)
-    return rest.drop("bands")
+def _salted(rest: DataFrame) -> DataFrame:
+    """With ``part``: rows of a large bucket dealt at random into parts of about ``BUCKET_ROWS``, otherwise in each band."""
+    parts = rest.groupBy("band", "bucket").agg(F.ceil(F.count("*") / BUCKET_ROWS).alias("parts"))
+    return rest.join(parts, ["band", "bucket"]).withColumn("part", F.pmod(F.xxhash64("node", "band"), "parts")).drop("parts")
+
+
+def _similar_weight(mine: np.ndarray, others: np.ndarray, similarity: float) -> np.ndarray:
+    return np.minimum(mine, others) >= (similarity - 1e-9) * np.maximum(mine, others)
+
+
+def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+    a, b = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 2
+    a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else (a, b)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _groups(*keys: np.ndarray) -> list[np.ndarray]:
+    """Rows of each combination of keys."""
+    order = np.lexsort(keys)
+    edge = np.zeros(max(len(order) - 1, 0), bool)
+    for key in keys:
+        edge |= np.diff(key[order]) != 0
+    return np.split(order, np.flatnonzero(edge) + 1)
 
 
 def _with_leaders(rest: DataFrame, groups: int, leaders: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of the most central nodes of a bucket with nodes of other components that they agree with."""
+    """Pairs (a, b) of the most central nodes of a bucket's part with nodes of other components that they agree with."""
 
     def pair(group: pa.Table) -> pa.Table:
-        band, bucket = group.column("band").to_numpy(), group.column("bucket").to_numpy()
+        band, bucket, part = (group.column(c).to_numpy() for c in ("band", "bucket", "part"))
         node, weight, component = (group.column(c).to_numpy() for c in ("node", "weight", "component"))
         drawn = np.frombuffer(b"".join(group.column("drawn").to_pylist()), np.uint32).reshape(len(node), -1)
-        order = np.lexsort((bucket, band))
-        edge = (np.diff(band[order]) != 0) | (np.diff(bucket[order]) != 0)
         found = []
-        for rows in np.split(order, np.flatnonzero(edge) + 1):
+        for rows in _groups(part, bucket, band):
             # How often a node's samples occur in the bucket: its agreement with all the others.
             shared = np.zeros(len(rows))
             for column in drawn[rows].T:
@@ -266,17 +277,75 @@ def _with_leaders(rest: DataFrame, groups: int, leaders: int, similarity: float)
                 shared += times[which]
             rows = rows[np.lexsort((node[rows], -shared))]
             for i in rows[:leaders]:
-                near = component[rows] != component[i]
-                near &= np.minimum(weight[i], weight[rows]) >= (similarity - 1e-9) * np.maximum(weight[i], weight[rows])
-                others = rows[near]
+                others = rows[(component[rows] != component[i]) & _similar_weight(weight[i], weight[rows], similarity)]
                 others = others[(drawn[others] == drawn[i]).mean(axis=1) >= AGREED]
-                found.append((np.minimum(node[i], node[others]), np.maximum(node[i], node[others])))
-        a, b = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 2
-        a, b = np.unique(np.stack([a, b]), axis=1) if len(a) else (a, b)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                found.append((np.full(len(others), node[i]), node[others]))
+        return _pairs(found)
+
+    key = F.pmod(F.xxhash64("band", "bucket", "part"), F.lit(groups))
+    return _salted(rest).groupBy(key).applyInArrow(pair, "a long, b long").distinct()
+
 
-    key = F.pmod(F.xxhash64("band", "bucket"), F.lit(groups))
-    return rest.groupBy(key).applyInArrow(pair, "a long, b long").distinct()
+def _across(spark: SparkSession, rest: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of nodes of a bucket that are of other components and agree.
+
+    One of two components is not the bucket's largest, so its nodes lead, in blocks that meet every block of the bucket.
+    """
+    counts = rest.groupBy("band", "bucket", "component").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("band", "bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
+    blocks = lambda n: F.greatest(F.ceil(n / BUCKET_ROWS), F.lit(1)).cast("int")
+    sizes = sizes.select(
+        "band",
+        "bucket",
+        F.col("main.component").alias("main"),
+        blocks(F.col("n") - F.col("main.n")).alias("leading"),
+        blocks(F.col("n")).alias("all"),
+    )
+    rows = rest.join(sizes, ["band", "bucket"]).withColumn("leads", F.col("component") != F.col("main"))
+    rows = rows.withColumn("own_i", F.pmod(F.xxhash64("node", "band"), "leading").cast("int"))
+    rows = rows.withColumn("own_j", F.pmod(F.xxhash64("band", "node"), "all").cast("int"))
+    place = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    met = F.transform(F.sequence(F.lit(0), F.col("leading") - 1), lambda i: place(i, F.col("own_j")))
+    led = F.transform(F.sequence(F.lit(0), F.col("all") - 1), lambda j: place(F.col("own_i"), j))
+    places = F.when(F.col("leads"), F.array_union(met, led)).otherwise(met)
+    placed = rows.withColumn("place", F.explode(places)).select(
+        "band",
+        "bucket",
+        "place.i",
+        "place.j",
+        (F.col("leads") & (F.col("own_i") == F.col("place.i"))).alias("as_leader"),
+        (F.col("own_j") == F.col("place.j")).alias("as_member"),
+        "leads",
+        "node",
+        "weight",
+        "component",
+        "drawn",
+    )
+    placed = stored(spark, "blocks", placed)
+
+    def pair(group: pa.Table) -> pa.Table:
+        keys = [group.column(c).to_numpy() for c in ("j", "i", "bucket", "band")]
+        node, weight, component = (group.column(c).to_numpy() for c in ("node", "weight", "component"))
+        leads, leader, member = (np.asarray(group.column(c)) for c in ("leads", "as_leader", "as_member"))
+        drawn = np.frombuffer(b"".join(group.column("drawn").to_pylist()), np.uint32).reshape(len(node), -1)
+        found = []
+        for rows in _groups(*keys):
+            members = rows[member[rows]]
+            members = members[np.argsort(weight[members], kind="stable")]
+            heavy, codes = weight[members], drawn[members]
+            for i in rows[leader[rows]]:
+                # A little wider than the exact bound, which follows.
+                lo = np.searchsorted(heavy, weight[i] * (similarity - 1e-6))
+                hi = np.searchsorted(heavy, weight[i] / (similarity - 1e-6), "right")
+                near = members[lo:hi]
+                ok = (codes[lo:hi] == drawn[i]).mean(axis=1) >= AGREED
+                ok &= (component[near] != component[i]) & _similar_weight(weight[i], weight[near], similarity)
+                near = near[ok & (~leads[near] | (node[near] > node[i]))]  # two that lead meet twice
+                found.append((np.full(len(near), node[i]), node[near]))
+        return _pairs(found)
+
+    key = F.pmod(F.xxhash64("band", "bucket", "i", "j"), F.lit(1 + placed.count() // 20_000))
+    return placed.groupBy(key).applyInArrow(pair, "a long, b long").distinct()
 
 
 def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
@@ -302,16 +371,19 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, idf: np.ndarra
             rows = (shared if rest is None else rest.drop("component")).join(labels, "node", "left")
             rows = _several(rows.withColumn("component", F.coalesce("component", "node")))
             if rest is None:
-                rows = _several(_split(spark, stored(spark, "rest", rows), nodes, BANDS))
-                rows = rows.join(nodes.select("node", "drawn"), "node")
+                rows = stored(spark, "rest", rows).join(nodes.select("node", "drawn"), "node")
             rest = stored(spark, "rest", rows)
         n, largest = rest.groupBy("band", "bucket").count().agg(F.sum("count"), F.max("count")).first()
         if not n:
             break
-        pairs = _with_leaders(rest, 1 + n // 20_000, leaders, similarity).join(judged, ["a", "b"], "left_anti")
+        if leaders:
+            pairs = _with_leaders(rest, 1 + n // 20_000, leaders, similarity)
+        else:
+            pairs = _across(spark, rest, similarity)
+        pairs = pairs.join(judged, ["a", "b"], "left_anti")
         fresh = stored(spark, "judged", verified(spark, stored(spark, "pairs", pairs), texts, idf, similarity))
         judged = judged.unionByName(fresh)
-        if leaders >= largest:
+        if leaders is None or leaders >= largest and largest <= BUCKET_ROWS:
             break
         if not fresh.filter("similar").isEmpty():
             labels = None

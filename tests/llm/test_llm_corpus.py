@@ -139,6 +139,28 @@ def test_language_cases(spark):
     assert language_id.predict(docs.filter("doc_id < 0"), model).count() == 0
 
 
+def test_language_rejects_what_it_never_saw(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    three, rest = docs.filter("doc_id % 3 <> 1 and lang <> 'fr'"), docs.filter("doc_id % 3 = 1 and lang <> 'fr'")
+    model = language_id.fit(three)
+    rng = random.Random(6)
+    letters = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    small, big = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    finnish = "Talvella pohjoisessa on pimeää ja kylmää, mutta ihmiset hiihtävät metsissä ja kokoontuvat iltaisin saunaan. "
+    polish = "Wczoraj wieczorem poszliśmy na długi spacer wzdłuż rzeki, a potem zjedliśmy kolację w małej restauracji. "
+    russian = "Вчера вечером мы долго гуляли вдоль реки, а потом поужинали в маленьком ресторане у площади. "
+    odd = [finnish * k for k in (1, 3)] + [polish * k for k in (1, 3)] + [russian * k for k in (1, 3)]
+    odd += [letters(1500, small + big) for _ in range(10)] + [letters(1500, "0123456789abcdef") for _ in range(10)]
+    odd += [" ".join(letters(rng.randint(2, 8), small) for _ in range(150)) for _ in range(10)]
+    got = language_id.predict(table(spark, list(enumerate(odd))), model).collect()
+    assert all(r["rejected"] for r in got), [(r["text"][:20], r["cosine"]) for r in got if not r["rejected"]]
+    kept = language_id.predict(rest, model).filter(language_id.has_letter("text")).collect()
+    assert np.mean([r["rejected"] for r in kept]) < 0.01
+    # French shares words and letters with the others, but not enough.
+    french = docs.filter("lang = 'fr' and n_chars > 1000")
+    assert language_id.predict(french, model).agg(F.avg(F.col("rejected").cast("int"))).first()[0] > 0.95
+
+
 # Near copies
 
 

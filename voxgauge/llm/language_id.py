@@ -3,7 +3,9 @@
 A text is lower-cased (A-Z) and what is neither an ASCII letter nor part of a non-ASCII character counts as a space. Its
 n-grams of bytes are hashed into ``BUCKETS`` cells; a cell weighs (1 + ln tf) times its inverse document frequency over
 all texts learned from, and the vector has length 1. The texts of a language are clustered on the sphere and each cluster
-mean is a centroid. A text whose nearest centroid is farther than the language's radius is rejected.
+mean is a centroid; one of very few texts is put aside. A text whose nearest centroid is farther than the language's
+radius is rejected. Short texts lie far from every centroid, so a radius belongs to a language and a size, the number of a
+text's cells: it follows a low quantile of the cosines of fitted texts, and of their beginnings, of that size.
 
 Document frequencies cover every text learned from. Clustering and radii use at most ``FIT_ROWS`` texts per language,
 those of the smallest hash of their id, so a hot language costs no more than another. What tasks carry is bounded:
@@ -26,8 +28,18 @@ ORDERS = (2, 3, 4)
 CENTROIDS = 4
 #: Texts per language that clustering and radii are fitted on.
 FIT_ROWS = 1000
-#: A text is rejected if its cosine is below this share of the least cosine of the language's fitted texts.
-RADIUS_SHARE = 0.35
+#: A centroid of a smaller share of the fitted texts is put aside.
+LEAST_SHARE = 0.02
+#: Bytes of beginnings that radii are fitted on: one of each fitted text, up to all where the texts are few.
+BEGINNINGS = (8, 16, 32, 64, 128, 256, 512, 1024, 2048)
+#: Sizes of texts: half powers of two of the cells they have.
+SIZES = 2 * BUCKETS.bit_length()
+#: Cosines so many deviations (of the median kind) below the median of their size are outliers; the quantile of the rest.
+OUTLIER, LOW = 4.0, 0.01
+#: A size of fewer fitted texts takes its radius from the sizes beside it.
+SIZE_TEXTS = 20
+#: A text is rejected if its cosine is below this share of that quantile.
+RADIUS_SHARE = 0.6
 
 _PREDICTED = [
     T.StructField("lang_pred", T.StringType()),
@@ -115,8 +127,37 @@ def cluster(x: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray, np.nda
     return centres, (x @ centres.T).max(axis=1)
 
 
+def size_of(x: np.ndarray) -> np.ndarray:
+    """Size (below ``SIZES``) of texts by their vectors."""
+    return (2 * np.log2(np.maximum((x > 0).sum(axis=1), 1))).astype(np.int64)
+
+
+def floors_by_size(size: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+    """Low quantile of the cosines of each size, without outliers."""
+    found = []
+    for k in np.unique(size):
+        own = cosines[size == k].astype(np.float64)
+        middle = np.median(own)
+        spread = max(1.4826 * np.median(np.abs(own - middle)), 0.01)
+        found.append((k, len(own), np.quantile(own[own >= middle - OUTLIER * spread], LOW)))
+    at, n, low = (np.array(c) for c in zip(*found))
+    enough = n >= min(SIZE_TEXTS, n.max())
+    return np.interp(np.arange(SIZES), at[enough], low[enough])
+
+
+def beginnings(data: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One beginning of each text, whole characters, of the length in ``BEGINNINGS`` that ``which`` names; nothing below 0."""
+    n = np.where(which < 0, 0, np.minimum(np.diff(offsets), np.array(BEGINNINGS)[which]))
+    parts = []
+    for start, end, k in zip(offsets[:-1], offsets[1:], n):
+        while 0 < k < end - start and data[start + k] & 0xC0 == 0x80:
+            k -= 1
+        parts.append(data[start : start + k])
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+
+
 class LanguageModel:
-    """Inverse document frequencies, and per centroid its language and vector; floors: least cosine by language."""
+    """Inverse document frequencies, and per centroid its language and vector; floors: by language, low cosine of each size."""
 
     def __init__(self, idf, languages, owner, centroids, floors):
         self.idf, self.languages, self.owner, self.centroids, self.floors = idf, languages, owner, centroids, floors
@@ -130,32 +171,45 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROID
     # Twice the rows wanted pass a threshold of the hash before anything is shuffled; a small language passes whole.
     sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
     draw = F.xxhash64("doc_id", "text")
+    rounds = F.least(F.ceil(F.lit(fit_rows) / F.col("size")), F.lit(len(BEGINNINGS))).cast("int").alias("rounds")
     share = F.pmod(draw, F.lit(1 << 30)) / (1 << 30)
     drawn = rows.join(broadcast_if_small(sizes), "lang").filter(share * F.col("size") <= 2 * fit_rows + 100)
     order = W.partitionBy("lang").orderBy(share, draw)
-    sample = drawn.select("lang", "text", F.row_number().over(order).alias("k")).filter(F.col("k") <= fit_rows)
+    sample = drawn.select("lang", "text", F.row_number().over(order).cast("int").alias("k"), rounds).filter(F.col("k") <= fit_rows)
 
     def to_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(lang: pa.Array, whole: bool, x: np.ndarray) -> pa.RecordBatch:
+            v = pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())
+            return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(x), whole)), v], ["lang", "whole", "v"])
+
         for batch in batches:
             for lo, hi, data, offsets in byte_slices(batch.column(1)):
-                x = vectors(data, offsets, idf).astype(np.float16)
-                lang = batch.column(0).slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([lang, pa.array([v.tobytes() for v in x], pa.binary())], ["lang", "v"])
+                lang, k, rounds = (batch.column(c).slice(lo, hi - lo) for c in (0, 2, 3))
+                yield rows(lang, True, vectors(data, offsets, idf))
+                k, rounds = np.asarray(k), np.asarray(rounds)
+                for r in range(rounds.max(initial=0)):
+                    which = np.where(r < rounds, (k + r) % len(BEGINNINGS), -1)
+                    yield rows(lang, False, vectors(*beginnings(data, offsets, which), idf))
 
     def to_centroids(group: pa.Table) -> pa.Table:
         x = np.stack([np.frombuffer(v, np.float16) for v in group.column("v").to_pylist()]).astype(np.float32)
-        centres, cosines = cluster(x, centroids)
+        whole = np.asarray(group.column("whole"))
+        centres, _ = cluster(x[whole], centroids)
+        own = np.bincount((x[whole] @ centres.T).argmax(axis=1), minlength=len(centres))
+        centres = centres[own >= LEAST_SHARE * whole.sum()]
+        x = x[whole | (x > 0).any(axis=1)]
+        floors = floors_by_size(size_of(x), (x @ centres.T).max(axis=1))
         m = len(centres)
         return pa.table(
             {
                 "lang": pa.array([group.column("lang")[0].as_py()] * m, pa.string()),
-                "floor": pa.array([float(cosines.min())] * m),
+                "floors": pa.array([floors.tolist()] * m, pa.list_(pa.float64())),
                 "v": pa.array([c.tobytes() for c in centres], pa.binary()),
             }
         )
 
-    found = sample.mapInArrow(to_vectors, "lang string, v binary")
-    found = found.groupBy("lang").applyInArrow(to_centroids, "lang string, floor double, v binary")
+    found = sample.mapInArrow(to_vectors, "lang string, whole boolean, v binary")
+    found = found.groupBy("lang").applyInArrow(to_centroids, "lang string, floors array<double>, v binary")
     found = sorted(found.collect())  # a few rows per language
     languages = sorted({r["lang"] for r in found})
     return LanguageModel(
@@ -163,7 +217,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROID
         languages,
         np.array([languages.index(r["lang"]) for r in found], np.int64),
         np.stack([np.frombuffer(r["v"], np.float32) for r in found]) if found else np.empty((0, BUCKETS), np.float32),
-        {r["lang"]: r["floor"] for r in found},
+        {r["lang"]: np.array(r["floors"]) for r in found},
     )
 
 
@@ -187,14 +241,15 @@ def predict(docs: DataFrame, model: LanguageModel, radius_share: float = RADIUS_
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, owner, idf, centroids, least = carried.value
         known = len(languages)
-        floors = np.array([least[x] * radius_share for x in languages])
+        floors = np.array([least[x] * radius_share for x in languages])  # by language and size
         for batch in batches:
             n = batch.num_rows
-            best, near, share = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+            best, near, share, size = np.zeros(n, np.int64), np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
             for lo, hi, data, offsets in byte_slices(batch.column(text_at)):
                 if not known:
                     continue
-                cosine = vectors(data, offsets, idf) @ centroids.T
+                x = vectors(data, offsets, idf)
+                cosine, size[lo:hi] = x @ centroids.T, size_of(x)
                 by_language = np.stack([cosine[:, owner == k].max(axis=1) for k in range(known)], axis=1)
                 by_language = np.clip(by_language.astype(np.float64), 0, 1)
                 k, row = by_language.argmax(axis=1), np.arange(hi - lo)
@@ -205,7 +260,7 @@ def predict(docs: DataFrame, model: LanguageModel, radius_share: float = RADIUS_
                 share[lo:hi] = first if known == 1 else np.where(total > 0, first / np.maximum(total, 1e-12), 0)
             judged = np.asarray(batch.column(letters_at)) & (known > 0)
             labels = np.array([*languages, "und"], dtype=object)[np.where(judged, best, known)]
-            far = ~judged | (near < (floors[best] if known else 1))
+            far = ~judged | (near < (floors[best, size] if known else 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c) for c in kept],

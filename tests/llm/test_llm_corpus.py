@@ -571,6 +571,22 @@ def test_neighbours_cases(spark):
     assert neighbours.nearest(spark, vectors.filter("vec_id < 0"), vectors, k=6).count() == 0
 
 
+def test_neighbours_with_a_few_very_long(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 32))[rng.integers(0, 60, 3000)] + 0.6 * rng.normal(size=(3000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[[3, 400, 900]] *= [[100], [300], [1000]]
+    vectors = table(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = range(0, 3000, 15)
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(spark, vectors, vectors.filter("vec_id % 15 = 0"), k=20).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    hits = sum(len(got[q] & set(np.argsort(-s[q])[:20].tolist())) for q in asked)
+    assert hits / (20 * len(asked)) >= 0.9
+
+
 # Pipeline
 
 

@@ -2,7 +2,9 @@
 
 Rows of one vector are one node, so copies form no cliques. Vectors of unequal length get one more coordinate, sqrt(M^2 -
 |x|^2) with M the greatest length; then the nearest by distance to a query (with 0 there) are those of the largest
-inner product, and neighbours in the graph are neighbours in the same sense.
+inner product, and neighbours in the graph are neighbours in the same sense. Of that coordinate, a node keeps how much it
+falls short of M, as a float beside the coded real ones: where one vector is much longer than the rest it neither sets the
+scale of the codes nor drowns their differences. The longest nodes are entries of every search.
 
 The graph starts from random hyperplane cells, split by salt where they are large. In each round the neighbours of a node,
 and the nodes that have it as a neighbour, are compared with one another if one of the two is new there, and whoever
@@ -32,6 +34,8 @@ ROUNDS, SETTLED = 8, 0.02
 PROPOSED = 6
 #: Search: nodes kept, opened in a round, and rounds at most.
 BEAM, OPENED, SEARCH_ROUNDS = 120, 10, 40
+#: Entries of all queries: nodes drawn by hash, and the longest ones.
+ENTRIES = 32
 #: Nodes compared in one task group at once.
 GROUP_NODES = 256
 
@@ -56,7 +60,8 @@ def _bytes(rows: np.ndarray) -> pa.Array:
 
 
 def make_nodes(spark: SparkSession, vectors: DataFrame, copies: int) -> DataFrame:
-    """Distinct vectors: node, vector (doubles), code (bytes with a factor), ids: the ``copies`` least vec_ids, ascending.
+    """Distinct vectors: node, vector (doubles), code (bytes with a factor), ids: the ``copies`` least vec_ids, ascending;
+    squared: length of the vector, squared.
 
     Rows of a dimension other than the most frequent one, of which the longest counts, are left out.
     """
@@ -73,27 +78,38 @@ def make_nodes(spark: SparkSession, vectors: DataFrame, copies: int) -> DataFram
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
-            more = np.sqrt(np.maximum(length - (x * x).sum(axis=1, keepdims=True), 0))
+            squared = (x * x).sum(axis=1)
+            short = squared / (np.sqrt(length) + np.sqrt(np.maximum(length - squared, 0)))  # M - sqrt(M^2 - |x|^2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), _bytes(x), _bytes(_encode(np.hstack([x, more])))],
-                ["node", "ids", "vector", "code"],
+                [batch.column(0), batch.column(1), _bytes(x), _bytes(_encode(x, short)), pa.array(squared)],
+                ["node", "ids", "vector", "code", "squared"],
             )
 
     return stored(
-        spark, "ann-nodes", groups.mapInArrow(encode, "node long, ids array<long>, vector binary, code binary")
+        spark, "ann-nodes", groups.mapInArrow(encode, "node long, ids array<long>, vector binary, code binary, squared double")
     )
 
 
-def _encode(x: np.ndarray) -> np.ndarray:
-    """One byte a coordinate, behind the factor (4 bytes) that they are to be multiplied with."""
+def _encode(x: np.ndarray, short: np.ndarray) -> np.ndarray:
+    """One byte a coordinate, behind the factor (4 bytes) that they are to be multiplied with and ``short`` (4 bytes)."""
     factor = (np.abs(x).max(axis=1) / 127).astype(np.float32)
-    codes = np.round(x / np.maximum(factor, 1e-30)[:, None]).astype(np.int8)
-    return np.hstack([factor[:, None].view(np.uint8), codes.view(np.uint8)])
+    codes = np.clip(np.round(x / np.maximum(factor, 1e-30)[:, None]), -127, 127).astype(np.int8)
+    head = np.stack([factor, short.astype(np.float32)], axis=1)
+    return np.hstack([head.view(np.uint8), codes.view(np.uint8)])
 
 
 def _decode(codes: np.ndarray) -> np.ndarray:
-    factor = np.ascontiguousarray(codes[:, :4]).view(np.float32)
-    return np.ascontiguousarray(codes[:, 4:]).view(np.int8).astype(np.float32) * factor
+    """The coordinates, and after them how much the added one falls short."""
+    head = np.ascontiguousarray(codes[:, :8]).view(np.float32)
+    x = np.ascontiguousarray(codes[:, 8:]).view(np.int8).astype(np.float32) * head[:, :1]
+    return np.hstack([x, head[:, 1:]])
+
+
+def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Inner products of nodes with the added coordinate, less M^2: minus half the squared distances."""
+    half_x, half_y = ((v[:, :-1] ** 2).sum(axis=1) / 2 for v in (x, y))
+    apart = x[:, -1:] - y[:, -1]
+    return x[:, :-1] @ y[:, :-1].T - half_x[:, None] - half_y - apart * apart / 2
 
 
 def _start(nodes: DataFrame, n: int, degree: int) -> DataFrame:
@@ -102,7 +118,7 @@ def _start(nodes: DataFrame, n: int, degree: int) -> DataFrame:
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _decode(_matrix(batch.column(1), np.uint8))
+            x = _decode(_matrix(batch.column(1), np.uint8))[:, :-1]
             for t in range(TABLES):
                 planes = np.random.default_rng(t).normal(size=(x.shape[1], max(bits, 1)))
                 cell = ((x @ planes > 0) @ (1 << np.arange(max(bits, 1)))) if bits else np.zeros(len(x), np.int64)
@@ -122,7 +138,7 @@ def _start(nodes: DataFrame, n: int, degree: int) -> DataFrame:
         node, x = group.column("node").to_numpy(), _decode(_matrix(group.column("code"), np.uint8))
         found = []
         for i in range(0, len(x), 512):
-            s = x[i : i + 512] @ x.T
+            s = _alike(x[i : i + 512], x)
             s[np.arange(len(s)), i + np.arange(len(s))] = -np.inf
             k = min(degree, len(x) - 1)
             if k:
@@ -164,7 +180,7 @@ def _proposals(nodes: DataFrame, edges: DataFrame, groups: int, reverse: int) ->
         for rows in np.split(order, np.flatnonzero(np.diff(centre[order])) + 1):
             if len(rows) < 2 or not fresh[rows].any():
                 continue
-            s = x[rows] @ x[rows].T
+            s = _alike(x[rows], x[rows])
             allowed = (fresh[rows][:, None] | fresh[rows][None, :]) & (s > bound[rows][:, None])
             np.fill_diagonal(allowed, False)
             s = np.where(allowed, s, -np.inf)
@@ -221,7 +237,9 @@ def search(
     spark: SparkSession, nodes: DataFrame, graph: DataFrame, sought: DataFrame, beam: int = BEAM, opened: int = OPENED
 ) -> DataFrame:
     """For each node of ``sought`` (q) the nodes kept by greedy search: q, node, itself included."""
-    seeds = nodes.orderBy(F.xxhash64("node"), "node").limit(32).select("node", "code").collect()  # entries for all
+    drawn = nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).select("node", "code").collect()
+    longest = nodes.orderBy(F.desc("squared"), "node").limit(ENTRIES).select("node", "code").collect()
+    seeds = list({r[0]: r for r in [*drawn, *longest]}.values())  # entries for all
     seed_ids = np.array([r[0] for r in seeds], np.int64)
     seed_codes = np.frombuffer(b"".join(bytes(r[1]) for r in seeds), np.uint8).reshape(len(seeds), -1) if seeds else None
 

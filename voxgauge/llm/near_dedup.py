@@ -394,7 +394,8 @@ def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
     """Per row of ``docs``: doc_id, tag, class_id (least doc_id of its class), class_size (rows), n_links, kept.
 
     Texts without words, null ones too, are alone in their class. ``kept`` marks one row of each class, the first by
-    (doc_id, tag); rows equal in id and text share that mark. A null id counts as first; a class of null ids only has
+    (doc_id, tag); rows equal in id and text share that mark. ``n_links`` counts the verified links of the text that were used
+    to join its class, not the texts like it: pairs of one component are not compared. A null id counts as first; a class of null ids only has
     a null class_id. Other columns are not read. No rows give no rows.
     """
     idf = inverse_frequencies(docs)

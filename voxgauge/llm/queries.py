@@ -17,6 +17,7 @@ from voxgauge.llm import (
     substring_dedup,
     token_files,
     url_filter,
+    whitening,
 )
 from voxgauge.llm.shared import documents, remainder, table
 from voxgauge.session import shared_path
@@ -169,3 +170,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(spark, vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+@_query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding projected on the 32 leading eigenvectors of the covariance, over sqrt of the eigenvalue."""
+    found = whitening.whiten(spark, table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error", "eigenvalue")

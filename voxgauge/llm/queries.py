@@ -13,6 +13,7 @@ from voxgauge.llm import (
     near_dedup,
     neighbours,
     packing,
+    prefix_trie,
     quality,
     substring_dedup,
     token_files,
@@ -177,3 +178,61 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every usable embedding projected on the 32 leading eigenvectors of the covariance, over sqrt of the eigenvalue."""
     found = whitening.whiten(spark, table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return found.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error", "eigenvalue")
+
+
+#: crc32 of a string in DuckDB, bit by bit: eight shifts by the reflected polynomial per byte (a rule, not a table).
+_CRC_STEP = "list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 & -(a & 1)) + z)"
+
+
+def _crc32_sql(text: str) -> str:
+    chars = f"list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {chars}), lambda crc, b: {_CRC_STEP}), 4294967295)"
+
+
+@_query(
+    "op13_conversation_trie",
+    f"""
+    WITH t AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+      FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    ids AS (
+      SELECT c, c - c % 100 AS base, {_crc32_sql("CAST(c AS VARCHAR)")} % 6 AS h
+      FROM (SELECT DISTINCT conv_id AS c FROM t)
+    ),
+    r AS (
+      SELECT ids.c, t.pos, t.role, t.text FROM ids JOIN t ON t.conv_id = ids.base AND t.pos <= ids.h
+      UNION ALL
+      SELECT ids.c, t.pos, t.role, t.text FROM ids JOIN t ON t.conv_id = ids.c AND t.pos > ids.h
+    ),
+    s AS (
+      SELECT ids.c,
+        coalesce(list(struct_pack(r := r.role, t := r.text) ORDER BY r.pos) FILTER (WHERE r.pos IS NOT NULL), []) AS seq,
+        coalesce(list(CAST(length(r.text) AS BIGINT) ORDER BY r.pos) FILTER (WHERE r.pos IS NOT NULL), []) AS lens
+      FROM ids LEFT JOIN r ON r.c = ids.c GROUP BY ids.c
+    ),
+    p AS (
+      SELECT c, d, seq[1:d] AS key, len(seq) AS n, CASE WHEN d = 0 THEN 0 ELSE lens[d] END AS l
+      FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM s)
+    ),
+    node AS (
+      SELECT key, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(l) AS l,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+      FROM p GROUP BY key
+    ),
+    kids AS (SELECT key[1:len(key) - 1] AS key, count(*) AS n_children FROM node WHERE len(key) > 0 GROUP BY 1),
+    leafy AS (SELECT node.*, coalesce(kids.n_children, 0) AS n_children FROM node LEFT JOIN kids USING (key)),
+    sub AS (
+      SELECT key[1:a] AS key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * l) AS saved
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM leafy) GROUP BY 1
+    )
+    SELECT leafy.conv_id, CAST(leafy.depth AS BIGINT) AS depth, par.conv_id AS parent_conv_id, leafy.n_convs,
+      CAST(leafy.n_children AS BIGINT) AS n_children, CAST(sub.n_leaves AS BIGINT) AS n_leaves,
+      CAST(sub.saved AS BIGINT) AS saved_tokens, leafy.ends_sha256
+    FROM leafy JOIN sub USING (key) LEFT JOIN node AS par ON leafy.depth > 0 AND par.key = leafy.key[1:len(leafy.key) - 1]
+    """,
+)
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix tree of the rebuilt conversations, with members, children, leaves and savings."""
+    return prefix_trie.nodes(spark, table(spark, sf_dir, "conversations"))

@@ -17,6 +17,7 @@ from voxgauge.llm import (
     quality,
     substring_dedup,
     token_files,
+    toxicity,
     url_filter,
     whitening,
 )
@@ -236,3 +237,17 @@ def _crc32_sql(text: str) -> str:
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix tree of the rebuilt conversations, with members, children, leaves and savings."""
     return prefix_trie.nodes(spark, table(spark, sf_dir, "conversations"))
+
+
+@_query("op11_toxicity")
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored for toxicity by a classifier trained on the label model's posteriors of the training rows."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    train = docs.filter(remainder("doc_id", 5) != 0)
+    model = toxicity.fit(train, table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0))
+    return toxicity.score(docs, model, drop_text=True).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        F.col("toxicity_score").alias("score"),
+        (F.col("toxicity_score") >= 0.5).cast("int").alias("predicted"),
+    )

@@ -1,15 +1,16 @@
 """Toxicity by weak supervision: lexicon and pattern voters, a generative label model, a linear classifier on its posteriors.
 
-Voters are column expressions over the lower-cased whole text (regular expressions in the JVM); each votes 1 (toxic),
-0 (clean) or abstains. The label model sees only the pattern of votes of a document: the training rows are counted by
+Voters are column expressions over the lower-cased whole text, in the JVM: its words meet whole-word lexicons as hashed
+sets, one regular expression finds phrases and runs of signs; each votes 1 (toxic), 0 (clean) or abstains. The label model sees only the pattern of votes of a document: the training rows are counted by
 (pattern, gold label) in Spark, at most 3^voters x 3 rows whatever the corpus, and the driver fits on those counts by EM
 a class prior and, per group of voters, the distribution of their joint vote given the class (a voter's accuracy is
 what that distribution gives to the right vote). Groups start as single voters; pairs whose votes stay correlated
 within a class beyond CORRELATED are joined (up to MAX_GROUP voters), so that voters that repeat one another are not
 counted as independent evidence. A gold label, where the training rows have one, fixes that row's posterior.
 
-The posterior of every training document, by a join on its pattern, is the soft label of a logistic regression
-(Spark ML, distributed L-BFGS) over hashed words of the whole text and the votes: each row enters once as 1 with weight
+The posterior of a training document, by a join on its pattern, is its soft label for a logistic regression (Spark ML,
+distributed L-BFGS) over hashed words of the whole text and the votes, fitted on at most FIT_ROWS training documents
+(the labelled ones first, then by hash of the id; a documented bound, the label model itself counts all of them): each row enters once as 1 with weight
 p and once as 0 with weight 1 - p. Every document is scored by that regression. A null text is an empty one: no words,
 every voter abstains, and it gets the score of the intercept; equal texts get equal scores; columns of ``docs`` other
 than doc_id and text are carried along untouched. Without training rows the score is 0.5.
@@ -28,56 +29,67 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voxgauge.llm.shared import broadcast_if_small, fresh_name
 
-# Word stems and patterns that the voters look for (our own lists; a stem also matches longer words).
+# The words and patterns that the voters look for (our own lists, whole lower-case words).
 INSULTS = {
-    "en": "idiot moron stupid clown worthless loser dumb pathetic imbecile jerk scum trash garbage fool",
-    "es": "idiota estúpid imbécil basura inútil payaso tonto tonta cretino asqueros",
-    "de": "idiot dummkopf trottel wertlos versager clown dumm müll blöd depp",
-    "fr": "idiot imbécile crétin minable clown débile ordure stupide abruti",
+    "en": "idiot idiots moron morons stupid stupidity clown clowns worthless loser losers dumb pathetic imbecile jerk scum trash garbage fool fools",
+    "es": "idiota idiotas estúpido estúpida imbécil basura inútil payaso payasos tonto tonta cretino asqueroso asquerosa",
+    "de": "idiot idioten dummkopf trottel wertlos versager clown dumm dumme müll blöd blöde depp",
+    "fr": "idiot idiote imbécile crétin minable clown débile ordure stupide abruti nul",
 }
-THREATS = "kill, murder, shut up, hate you, hurt you, destroy you"
-POLITE = "thank please gracias merci danke bitte"
-ADDRESSED = r"you(?: are|'re| r)? (?:a |an |such an? )?(?:idiot|moron|loser|clown|fool|joke)"
+THREAT_WORDS = "kill killed murder murdered"
+POLITE = "thank thanks please gracias merci danke bitte"
+#: Phrases and signs, found by one scan of their union; each match is then told apart by its own pattern.
+PATTERNS = [
+    ("threat", r"shut up|hate you|hurt you|destroy you", 1),
+    ("masked", r"[#$%&*@]{3,}", 1),
+    ("addressed", r"you(?: are|'re| r)? (?:a |an |such an? )?(?:idiot|moron|loser|clown|fool|joke)", 1),
+    ("exclaimed", r"!{3,}", 1),
+]
 
 #: Voters whose votes correlate within a class beyond this are modelled as one group, of at most MAX_GROUP voters.
 CORRELATED, MAX_GROUP = 0.5, 3
 EM_ROUNDS, SMOOTH = 200, 1.0
 WORD_CELLS = 1 << 18
 ITERATIONS, REGULARISE = 40, 1e-4
+#: Training rows the regression is fitted on, at most (the labelled first); the label model counts all of them.
+FIT_ROWS = 20_000
 
 
-def _stems(words: str) -> str:
-    return r"(?<![\p{L}\p{N}])(?:" + "|".join(sorted(set(words.split()), key=len, reverse=True)) + ")"
+def _words(lower: Column) -> Column:
+    return F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{N}]+"), 0)
 
 
-def _phrases(phrases: str) -> str:
-    return r"(?<![\p{L}\p{N}])(?:" + "|".join(p.strip() for p in phrases.split(",")) + ")"
+def _set(words: str) -> Column:
+    return F.array(*[F.lit(w) for w in sorted(set(words.split()))])
 
 
-def _hits(text: Column, pattern: str) -> Column:
-    return F.size(F.regexp_extract_all(text, F.lit(pattern), 0))
+def voters(text: Column, words: Column | None = None) -> list[tuple[str, Column]]:
+    """(name, vote) for every voter: 1 toxic, 0 clean, null to abstain. ``text``: the lower-cased text, never null.
 
+    The text is scanned once for its words, which meet the lexicons as hashed sets, and once for the union of the
+    phrase and sign patterns.
+    """
+    words = _words(text) if words is None else words
+    found = F.array_intersect(words, _set(" ".join(INSULTS.values())))  # distinct insults of the text
+    out = [(f"insult_{lang}", F.when(F.arrays_overlap(found, _set(listed)), 1)) for lang, listed in INSULTS.items()]
+    marks = F.regexp_extract_all(text, F.lit("|".join(f"(?:{p})" for _, p, _ in PATTERNS)), 0)
 
-def voters(text: Column) -> list[tuple[str, Column]]:
-    """(name, vote) for every voter: 1 toxic, 0 clean, null to abstain. ``text``: the lower-cased text, never null."""
-    out = [(f"insult_{lang}", F.when(_hits(text, _stems(words)) > 0, 1)) for lang, words in INSULTS.items()]
-    every = _stems(" ".join(INSULTS.values()))
+    def matching(pattern: str):
+        return lambda m: m.rlike(f"^(?:{pattern})$")
+
+    out += [(name, F.when(F.exists(marks, matching(pattern)), vote)) for name, pattern, vote in PATTERNS]
     out += [
-        ("threat", F.when(_hits(text, _phrases(THREATS)) > 0, 1)),
-        ("masked", F.when(_hits(text, r"[#$%&*@]{3,}") > 0, 1)),
-        ("addressed", F.when(_hits(text, ADDRESSED) > 0, 1)),
-        ("exclaimed", F.when(_hits(text, r"!{3,}") > 0, 1)),
-        ("repeated", F.when(_hits(text, every) >= 3, 1)),
-        ("long_clean", F.when((_hits(text, r"\p{L}+") >= 30) & (_hits(text, every) == 0), 0)),
-        ("polite", F.when(_hits(text, _stems(POLITE)) > 0, 0)),
+        ("threat_word", F.when(F.arrays_overlap(words, _set(THREAT_WORDS)), 1)),
+        ("several", F.when(F.size(found) >= 2, 1)),
+        ("long_clean", F.when((F.size(words) >= 30) & (F.size(found) == 0), 0)),
+        ("polite", F.when(F.arrays_overlap(words, _set(POLITE)), 0)),
     ]
     return out
 
 
 def shouting(raw: Column) -> Column:
     """1 where at least 20 letters are mostly upper case, else abstain; reads the text as it is."""
-    letters = F.length(F.regexp_replace(raw, r"[^\p{L}]", ""))
-    upper = F.length(F.regexp_replace(raw, r"[^\p{Lu}]", ""))
+    letters, upper = F.regexp_count(raw, F.lit(r"\p{L}")), F.regexp_count(raw, F.lit(r"\p{Lu}"))
     return F.when((letters >= 20) & (upper > 0.6 * letters), 1)
 
 
@@ -180,25 +192,30 @@ class ToxicityModel:
     regression: object | None
 
 
-def _with_votes(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+def _with_votes(docs: DataFrame, words: bool = True) -> tuple[DataFrame, list[str]]:
     lower = F.lower(F.coalesce(F.col("text"), F.lit("")))
-    found = voters(lower) + [("shouting", shouting(F.coalesce(F.col("text"), F.lit(""))))]
+    out = docs.withColumn("_words", _words(lower))
+    found = voters(lower, F.col("_words")) + [("shouting", shouting(F.coalesce(F.col("text"), F.lit(""))))]
     names = [n for n, _ in found]
     code = F.concat_ws("", *[F.coalesce(v + 1, F.lit(0)).cast("string") for _, v in found])  # 0 abstain, 1 clean, 2 toxic
-    words = F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{N}]+"), 0)
-    return docs.withColumn("_pattern", code).withColumn("_words", words), names
+    out = out.withColumn("_pattern", code)
+    return (out if words else out.drop("_words")), names
 
 
 def _decode(patterns: list[str]) -> np.ndarray:
     return np.array([[int(c) for c in p] for p in patterns], np.int64).reshape(len(patterns), -1)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """Learns from the training ``docs`` (doc_id, text) and the ``labels`` (doc_id, toxic 0 or 1) among them."""
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicityModel:
+    """Learns from the training ``docs`` (doc_id, text) and the ``labels`` (doc_id, toxic 0 or 1) among them.
+
+    The label model counts the vote patterns of all training rows; the regression is fitted on at most ``fit_rows`` of
+    them, the labelled ones first, then by hash of the id.
+    """
     gold = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("gold"))
-    voted, names = _with_votes(docs.select("doc_id", "text"))
-    rows = voted.join(gold, "doc_id", "left")
-    counted = rows.groupBy("_pattern", "gold").count().collect()  # at most 3^voters x 3 rows
+    docs = docs.select("doc_id", "text")
+    voted, names = _with_votes(docs, words=False)
+    counted = voted.join(gold, "doc_id", "left").groupBy("_pattern", "gold").count().collect()  # at most 3^voters x 3 rows
     if not counted:
         return ToxicityModel(LabelModel(0.5, [[j] for j in range(len(names))], [np.full((3, 2), 1 / 3)] * len(names), names), None)
     votes = _decode([r["_pattern"] for r in counted])
@@ -209,7 +226,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     posterior = model.posterior(_decode(distinct))
     spark = docs.sparkSession
     table = spark.createDataFrame([(p, float(q)) for p, q in zip(distinct, posterior)], "_pattern string, _posterior double")
-    soft = rows.join(broadcast_if_small(table), "_pattern").withColumn(
+    ids = docs.select("doc_id").distinct().join(gold, "doc_id", "left")
+    chosen = ids.orderBy(F.col("gold").isNull(), F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    sample, _ = _with_votes(docs.join(F.broadcast(chosen), "doc_id"))  # fit_rows ids and labels
+    soft = sample.join(broadcast_if_small(table), "_pattern").withColumn(
         "_posterior", F.when(F.col("gold").isNotNull(), F.col("gold").cast("double")).otherwise(F.col("_posterior"))
     )
     both = soft.select("*", F.explode(F.array(

@@ -8,10 +8,11 @@ what that distribution gives to the right vote). Groups start as single voters;
 within a class beyond CORRELATED are joined (up to MAX_GROUP voters), so that voters that repeat one another are not
 counted as independent evidence. A gold label, where the training rows have one, fixes that row's posterior.
 
-The posterior of a training document, by a join on its pattern, is its soft label for a logistic regression (Spark ML,
-distributed L-BFGS) over hashed words of the whole text and the votes, fitted on at most FIT_ROWS training documents
-(the labelled ones first, then by hash of the id; a documented bound, the label model itself counts all of them): each row enters once as 1 with weight
-p and once as 0 with weight 1 - p. Every document is scored by that regression. A null text is an empty one: no words,
+The posterior of a training document, by a join on its pattern, is its soft target for a logistic regression over the
+hashed cells of the words of the whole text (cells found in the JVM, each 1 / sqrt(cells of the text)) and the votes,
+fitted by AdaGrad in one task on at most FIT_ROWS training documents (the labelled ones first, then by hash of the id;
+a documented bound, the label model itself counts all of them). Every document is scored by that regression, in Arrow
+batches with the weights broadcast (WORD_CELLS + voters + 1 numbers). A null text is an empty one: no words,
 every voter abstains, and it gets the score of the intercept; equal texts get equal scores; columns of ``docs`` other
 than doc_id and text are carried along untouched. Without training rows the score is 0.5.
 """
@@ -21,11 +22,11 @@ from __future__ import annotations
 import itertools
 from dataclasses import dataclass, field
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from voxgauge.llm.shared import broadcast_if_small, fresh_name
 
@@ -50,7 +51,7 @@ PATTERNS = [
 CORRELATED, MAX_GROUP = 0.5, 3
 EM_ROUNDS, SMOOTH = 200, 1.0
 WORD_CELLS = 1 << 18
-ITERATIONS, REGULARISE = 40, 1e-4
+EPOCHS, BATCH, RATE, REGULARISE = 12, 256, 0.2, 1e-5
 #: Training rows the regression is fitted on, at most (the labelled first); the label model counts all of them.
 FIT_ROWS = 20_000
 
@@ -189,7 +190,53 @@ def fit_label_model(votes: np.ndarray, gold: np.ndarray, counts: np.ndarray, nam
 @dataclass
 class ToxicityModel:
     label_model: LabelModel
-    regression: object | None
+    weights: np.ndarray | None  # WORD_CELLS word weights, then one per voter, then the bias
+
+
+def _cells(words: Column) -> Column:
+    """The distinct hashed cells of a text's words."""
+    return F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(WORD_CELLS))))
+
+
+def _rows(cells: pa.Array, votes: pa.Array, n_voters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Flat cells, their row numbers, the value of each (1 / sqrt(cells of the row)) and the votes as -1, 0, 1."""
+    offsets = cells.offsets.to_numpy()
+    sizes = np.diff(offsets)
+    flat = cells.values.to_numpy(zero_copy_only=False).astype(np.int64)[offsets[0] : offsets[-1]]
+    row = np.repeat(np.arange(len(cells)), sizes)
+    value = np.repeat(1 / np.sqrt(np.maximum(sizes, 1)), sizes)
+    signed = np.array([[{"0": 0.0, "1": -1.0, "2": 1.0}[c] for c in p] for p in votes.to_pylist()]).reshape(len(cells), n_voters)
+    return flat, row, value, signed
+
+
+def _logits(weights: np.ndarray, flat, row, value, signed) -> np.ndarray:
+    n = len(signed)
+    words = np.bincount(row, weights=weights[flat] * value, minlength=n)
+    return words + signed @ weights[WORD_CELLS : WORD_CELLS + signed.shape[1]] + weights[-1]
+
+
+def learn(flat, row, value, signed, target) -> np.ndarray:
+    """Logistic regression on soft targets by AdaGrad steps over batches; the same for the same rows."""
+    n, m = len(target), signed.shape[1]
+    weights, squares = np.zeros(WORD_CELLS + m + 1), np.full(WORD_CELLS + m + 1, 1e-6)
+    share = float(np.clip(target.mean(), 1e-3, 1 - 1e-3)) if n else 0.5
+    weights[-1] = np.log(share / (1 - share))
+    starts = np.searchsorted(row, np.arange(n + 1))
+    for _ in range(EPOCHS):  # rows in the order of the hash of their id
+        for lo in range(0, n, BATCH):
+            batch = np.arange(lo, min(n, lo + BATCH))
+            a, b = starts[batch[0]], starts[batch[-1] + 1]
+            f, r, v = flat[a:b], row[a:b] - batch[0], value[a:b]
+            z = np.bincount(r, weights=weights[f] * v, minlength=len(batch)) + signed[batch] @ weights[WORD_CELLS:-1] + weights[-1]
+            slope = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target[batch]) / len(batch)
+            step = np.zeros_like(weights)
+            np.add.at(step, f, slope[r] * v)
+            step[WORD_CELLS:-1] = signed[batch].T @ slope
+            step[-1] = slope.sum()
+            step[:-1] += REGULARISE * weights[:-1]
+            squares += step * step
+            weights -= RATE * step / np.sqrt(squares)
+    return weights
 
 
 def _with_votes(docs: DataFrame, words: bool = True) -> tuple[DataFrame, list[str]]:
@@ -232,34 +279,40 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     soft = sample.join(broadcast_if_small(table), "_pattern").withColumn(
         "_posterior", F.when(F.col("gold").isNotNull(), F.col("gold").cast("double")).otherwise(F.col("_posterior"))
     )
-    both = soft.select("*", F.explode(F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("_posterior").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (1 - F.col("_posterior")).alias("weight")),
-    )).alias("_soft")).select("*", "_soft.label", "_soft.weight").filter("weight > 0")
-    features = _features(both, len(names))
-    regression = LogisticRegression(
-        featuresCol="_features", labelCol="label", weightCol="weight", maxIter=ITERATIONS, regParam=REGULARISE
-    ).fit(features.select("_features", "label", "weight"))
-    return ToxicityModel(model, regression)
-
-
-def _features(voted: DataFrame, n_voters: int) -> DataFrame:
-    hashed = HashingTF(inputCol="_words", outputCol="_hashed", numFeatures=WORD_CELLS, binary=True).transform(voted)
-    signed = [
-        (F.substring("_pattern", i + 1, 1).cast("int") - 1).cast("double").alias(f"_vote{i}") for i in range(n_voters)
-    ]  # -1 abstain, 0 clean, 1 toxic
-    hashed = hashed.select("*", *signed)
-    return VectorAssembler(inputCols=["_hashed", *[f"_vote{i}" for i in range(n_voters)]], outputCol="_features").transform(hashed)
+    m = len(names)
+    rows = soft.select(_cells(F.col("_words")).alias("cells"), "_pattern", "_posterior", F.xxhash64("doc_id").alias("order"))
+
+    def to_weights(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("order", "ascending"), ("_posterior", "ascending")])  # whatever the order of arrival
+        cells = table.column("cells").combine_chunks()
+        flat, row, value, signed = _rows(cells, table.column("_pattern").combine_chunks(), m)
+        weights = learn(flat, row, value, signed, table.column("_posterior").to_numpy())
+        return pa.table({"weights": pa.array([weights.tolist()], pa.list_(pa.float64()))})
+
+    found = rows.groupBy().applyInArrow(to_weights, "weights array<double>").collect()  # one task: fit_rows rows
+    return ToxicityModel(model, np.array(found[0][0]) if found else None)
+
 
 
 def score(docs: DataFrame, model: ToxicityModel, drop_text: bool = False) -> DataFrame:
     """Columns of ``docs`` and ``toxicity_score`` (0 to 1, higher: label 1 likelier), replaced if there is one."""
     docs = docs.drop("toxicity_score")
     kept = [c for c in docs.columns if not (drop_text and c == "text")]
-    if model.regression is None:
+    if model.weights is None:
         return docs.select(*kept, F.lit(0.5).alias("toxicity_score"))
     carried = fresh_name(docs, "_carried")  # other columns ride in one struct, clear of the working names
     work = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias(carried), "text")
     voted, names = _with_votes(work)
-    scored = model.regression.transform(_features(voted, len(names)))
-    return scored.select(f"{carried}.*", vector_to_array("probability")[1].alias("toxicity_score"))
+    rows = voted.select(carried, _cells(F.col("_words")).alias("cells"), "_pattern")
+    shared = docs.sparkSession.sparkContext.broadcast(model.weights)  # WORD_CELLS + voters + 1 numbers
+    m = len(names)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = shared.value
+        for batch in batches:
+            flat, row, value, signed = _rows(batch.column(1), batch.column(2), m)
+            p = 1 / (1 + np.exp(-np.clip(_logits(weights, flat, row, value, signed), -30, 30)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())], [carried, "toxicity_score"])
+
+    schema = T.StructType([rows.schema[carried], T.StructField("toxicity_score", T.DoubleType())])
+    return rows.mapInArrow(judge, schema).select(f"{carried}.*", "toxicity_score")

@@ -84,3 +84,15 @@ def test_registered_query(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas().merge(got, on="doc_id")
     train = labels[~labels.held_out]
     assert (train.predicted == train.toxic).mean() > 0.8
+
+
+def test_features_written_once_serve_learning_and_scoring(spark):
+    rows = [(i, ["you idiot, shut up!!!", "thanks, the lamp is fine", "STOP SHOUTING AT ALL OF US NOW", "", None][i % 5], "x") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _pattern string")  # a column of that name is carried along
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(0, 40, 2)], "doc_id long, toxic int")
+    texts = docs.drop("_pattern")
+    ready = toxicity.with_features(texts)
+    assert "text" not in ready.columns
+    want = toxicity.score(docs, toxicity.fit(texts, labels)).select("doc_id", "toxicity_score", "_pattern").orderBy("doc_id").collect()
+    got = toxicity.score(ready, toxicity.fit(ready, labels)).orderBy("doc_id").collect()
+    assert [(r[0], r[1]) for r in want] == [tuple(r) for r in got] and {r[2] for r in want} == {"x"}

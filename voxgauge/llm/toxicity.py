@@ -195,7 +195,7 @@ class ToxicityModel:
 
 def _cells(words: Column) -> Column:
     """The distinct hashed cells of a text's words."""
-    return F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(WORD_CELLS))))
+    return F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(WORD_CELLS)).cast("int")))
 
 
 def _rows(cells: pa.Array, votes: pa.Array, n_voters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -239,7 +239,20 @@ def learn(flat, row, value, signed, target) -> np.ndarray:
     return weights
 
 
+def _voter_names() -> list[str]:
+    return [name for name, _ in voters(F.lit(""))] + ["shouting"]
+
+
+def with_features(docs: DataFrame) -> DataFrame:
+    """``docs`` with the vote pattern and the hashed cells of each text in place of ``text``: ``fit`` and ``score`` take them
+    instead of it. Written once, they spare both the scans of the texts."""
+    found, _ = _with_votes(docs)
+    return found.withColumn("_cells", _cells(F.col("_words"))).drop("_words", "text")
+
+
 def _with_votes(docs: DataFrame, words: bool = True) -> tuple[DataFrame, list[str]]:
+    if "text" not in docs.columns:  # they have their features
+        return docs, _voter_names()
     lower = F.lower(F.coalesce(F.col("text"), F.lit("")))
     out = docs.withColumn("_words", _words(lower))
     found = voters(lower, F.col("_words")) + [("shouting", shouting(F.coalesce(F.col("text"), F.lit(""))))]
@@ -260,7 +273,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     them, the labelled ones first, then by hash of the id.
     """
     gold = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("gold"))
-    docs = docs.select("doc_id", "text")
+    ready = ["text"] if "text" in docs.columns else ["_pattern", "_cells"]
+    docs = docs.select("doc_id", *ready)
     voted, names = _with_votes(docs, words=False)
     counted = voted.join(gold, "doc_id", "left").groupBy("_pattern", "gold").count().collect()  # at most 3^voters x 3 rows
     if not counted:
@@ -280,7 +294,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
         "_posterior", F.when(F.col("gold").isNotNull(), F.col("gold").cast("double")).otherwise(F.col("_posterior"))
     )
     m = len(names)
-    rows = soft.select(_cells(F.col("_words")).alias("cells"), "_pattern", "_posterior", F.xxhash64("doc_id").alias("order"))
+    cells = F.col("_cells") if "_cells" in ready else _cells(F.col("_words"))
+    rows = soft.select(cells.alias("cells"), "_pattern", "_posterior", F.xxhash64("doc_id").alias("order"))
 
     def to_weights(table: pa.Table) -> pa.Table:
         table = table.sort_by([("order", "ascending"), ("_posterior", "ascending")])  # whatever the order of arrival
@@ -297,13 +312,14 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
 def score(docs: DataFrame, model: ToxicityModel, drop_text: bool = False) -> DataFrame:
     """Columns of ``docs`` and ``toxicity_score`` (0 to 1, higher: label 1 likelier), replaced if there is one."""
     docs = docs.drop("toxicity_score")
-    kept = [c for c in docs.columns if not (drop_text and c == "text")]
+    ready = ["text"] if "text" in docs.columns else ["_pattern", "_cells"]
+    kept = [c for c in docs.columns if not (drop_text and c == "text" or "text" not in ready and c in ready)]
     if model.weights is None:
         return docs.select(*kept, F.lit(0.5).alias("toxicity_score"))
     carried = fresh_name(docs, "_carried")  # other columns ride in one struct, clear of the working names
-    work = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias(carried), "text")
+    work = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias(carried), *ready)
     voted, names = _with_votes(work)
-    rows = voted.select(carried, _cells(F.col("_words")).alias("cells"), "_pattern")
+    rows = voted.select(carried, (F.col("_cells") if "_cells" in ready else _cells(F.col("_words"))).alias("cells"), "_pattern")
     shared = docs.sparkSession.sparkContext.broadcast(model.weights)  # WORD_CELLS + voters + 1 numbers
     m = len(names)
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from voxgauge.llm.arrow_text import byte_slices
+from voxgauge.llm.arrow_text import byte_slices, giving_back
 from voxgauge.llm.shared import broadcast_if_small, fresh_name
 
 BUCKETS = 4096
@@ -102,7 +102,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
         cell = np.append(np.arange(BUCKETS), -1)
         yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(np.append(total, rows))], ["cell", "n"])
 
-    sums = texts.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    sums = texts.select("text").mapInArrow(giving_back(count), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     found = {r["cell"]: r["n"] for r in sums.collect()}  # BUCKETS rows and one
     return np.array([found.get(i, 0) for i in range(BUCKETS)], np.int64), found.get(-1, 0)
 
@@ -208,7 +208,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROID
             }
         )
 
-    found = sample.mapInArrow(to_vectors, "lang string, whole boolean, v binary")
+    found = sample.mapInArrow(giving_back(to_vectors), "lang string, whole boolean, v binary")
     found = found.groupBy("lang").applyInArrow(to_centroids, "lang string, floors array<double>, v binary")
     found = sorted(found.collect())  # a few rows per language
     languages = sorted({r["lang"] for r in found})
@@ -272,4 +272,4 @@ def predict(docs: DataFrame, model: LanguageModel, radius_share: float = RADIUS_
                 [*kept, *names],
             )
 
-    return rows.mapInArrow(judge, schema)
+    return rows.mapInArrow(giving_back(judge), schema)

@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxgauge.llm.arrow_text import ALNUM, WordHasher, byte_slices, mix, shingles, word_bounds
+from voxgauge.llm.arrow_text import ALNUM, WordHasher, byte_slices, giving_back, mix, shingles, word_bounds
 from voxgauge.llm.components import components
 from voxgauge.llm.shared import broadcast_if_small, fresh_name, stored
 
@@ -91,7 +91,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
         cells, n = np.append(at, -1).astype(np.int32), np.append(total[at], texts)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"])
 
-    sums = docs.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    sums = docs.select("text").mapInArrow(giving_back(count), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     cells, n = sums.column("cell").to_numpy(), sums.column("n").to_numpy()  # at most CELLS rows and one
     found = np.zeros(CELLS, np.int64)
     found[cells[cells >= 0]] = n[cells >= 0]
@@ -184,7 +184,7 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int =
                     ["doc_id", "tag", "digest", "weight", "bands", "drawn"],
                 )
 
-    return source.mapInArrow(sign, "doc_id long, tag long, digest long, weight double, bands array<long>, drawn binary")
+    return source.mapInArrow(giving_back(sign), "doc_id long, tag long, digest long, weight double, bands array<long>, drawn binary")
 
 
 def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
@@ -218,7 +218,7 @@ def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: np.nd
                     ["a", "b", "similar"],
                 )
 
-    return rows.mapInArrow(compare, "a long, b long, similar boolean")
+    return rows.mapInArrow(giving_back(compare), "a long, b long, similar boolean")
 
 
 def shingle_sets(texts: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -234,7 +234,7 @@ def shingle_sets(texts: DataFrame, idf: np.ndarray) -> DataFrame:
                 columns = [pa.Array.from_buffers(pa.binary(), hi - lo, [None, at, pa.py_buffer(x)]) for x in held]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *columns], ["node", "keys", "weights"])
 
-    return texts.select("node", "text").mapInArrow(sets, "node long, keys binary, weights binary")
+    return texts.select("node", "text").mapInArrow(giving_back(sets), "node long, keys binary, weights binary")
 
 
 def _led(active: DataFrame, similarity: float) -> DataFrame:

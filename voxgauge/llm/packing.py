@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from voxgauge.llm.arrow_text import byte_slices
+from voxgauge.llm.arrow_text import byte_slices, giving_back
 from voxgauge.llm.shared import broadcast_if_small, stored
 from voxgauge.llm.token_ids import default_tokenizer, worker_encoder
 
 CAPACITY = 1024
+#: Bytes of text that are encoded at once.
+TEXT_BYTES = 1 << 18
 
 PIECE_SCHEMA = "part int, rank long, doc_id long, piece int, start long, length int, ids binary"
 
@@ -171,7 +173,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | Non
         encoder, part = worker_encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for lo, hi, data, offsets in byte_slices(batch.column(1)):
+            for lo, hi, data, offsets in byte_slices(batch.column(1), TEXT_BYTES):
                 ids, bounds = encoder.encode(data, offsets)
                 flat = np.insert(ids, bounds[1:], end_id).astype("<u4")
                 size = np.diff(bounds) + 1
@@ -203,7 +205,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | Non
                     [c.split()[0] for c in PIECE_SCHEMA.split(", ")],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECE_SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(giving_back(cut), PIECE_SCHEMA)
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -237,7 +239,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             )
 
     return joined.mapInArrow(
-        assign, "doc_id long, piece int, start long, length int, ids binary, sequence_id long, offset long"
+        giving_back(assign), "doc_id long, piece int, start long, length int, ids binary, sequence_id long, offset long"
     )
 
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from voxgauge.llm.arrow_text import VISIBLE, byte_slices
+from voxgauge.llm.arrow_text import VISIBLE, byte_slices, giving_back
 from voxgauge.llm.shared import fresh_name, stored
 
 RADIUS = 24
@@ -104,7 +104,7 @@ def chunks(docs: DataFrame, tagged: bool) -> DataFrame:
                     ["d1", "d2", "doc_id", "place"],
                 )
 
-    return rows.mapInArrow(cut, "d1 long, d2 int, doc_id long, place long")
+    return rows.mapInArrow(giving_back(cut), "d1 long, d2 int, doc_id long, place long")
 
 
 def repeated_chunks(spark: SparkSession, docs: DataFrame, tagged: bool) -> DataFrame:
@@ -152,8 +152,12 @@ def dedup(spark: SparkSession, docs: DataFrame, min_run: int = MIN_RUN) -> DataF
     )
     columns, text_at = docs.columns, docs.columns.index("text")
 
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            yield from (batch.slice(lo, hi - lo) for lo, hi, _, _ in byte_slices(batch.column(text_at)))
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
             n = batch.num_rows
             texts, marked = batch.column(text_at), batch.column(len(columns))
             spans: list[list[dict]] = [[] for _ in range(n)]
@@ -186,4 +190,4 @@ def dedup(spark: SparkSession, docs: DataFrame, min_run: int = MIN_RUN) -> DataF
             more = [pa.array(removed, pa.int64()), pa.array(spans, kinds[0]), pa.array(origins, kinds[1])]
             yield pa.RecordBatch.from_arrays([*out, *more], [*columns, *names])
 
-    return rows.mapInArrow(remove, schema)
+    return rows.mapInArrow(giving_back(remove), schema)

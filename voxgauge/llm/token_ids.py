@@ -19,8 +19,8 @@ import numpy as np
 
 from voxgauge.llm.arrow_text import WordHasher, spread
 
-#: Distinct pieces whose ids one worker keeps (about 50 bytes each); then it starts anew. Never changes ids.
-KEPT_PIECES = 1_500_000
+#: Distinct pieces whose ids one worker keeps (about 100 bytes each); then it starts anew. Never changes ids.
+KEPT_PIECES = 500_000
 #: Pieces joined into one call of the tokenizer.
 JOINED = 200
 

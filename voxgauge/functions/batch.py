@@ -18,12 +18,12 @@ PIECE_BYTES = 1 << 20
 _ARROW = {"int": pa.int32(), "string": pa.string(), "array<float>": pa.list_(pa.float32()), "array<string>": pa.list_(pa.string())}
 
 
-def _pieces(texts: pa.Array) -> list[pa.Array]:
+def text_pieces(texts: pa.Array) -> list[pa.Array]:
     """``texts`` in order, cut where PIECE_BYTES are full; no texts are one empty piece."""
     n = max(1, min(len(texts), -(-texts.nbytes // PIECE_BYTES)))
     edges = np.linspace(0, len(texts), n + 1).astype(int).tolist()
     parts = [texts.slice(lo, hi - lo) for lo, hi in zip(edges, edges[1:])]
-    return [x for p in parts for x in (_pieces(p) if len(p) > 1 and p.nbytes > 2 * PIECE_BYTES else [p])]
+    return [x for p in parts for x in (text_pieces(p) if len(p) > 1 and p.nbytes > 2 * PIECE_BYTES else [p])]
 
 
 def batch_udf(fn: BatchFunction, return_type: str):
@@ -35,7 +35,7 @@ def batch_udf(fn: BatchFunction, return_type: str):
 
         def pieces() -> Iterator[pd.Series]:
             for batch in batches:
-                parts = _pieces(batch)
+                parts = text_pieces(batch)
                 sizes.append([len(p) for p in parts])
                 yield from (p.to_pandas() for p in parts)
 

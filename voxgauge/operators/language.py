@@ -1,14 +1,20 @@
 """Language of a text from character trigrams.
 
-Profiles are built by aggregation. A text's grams meet them by join, and each text's sums are combined before the
-shuffle, so about one row per text and language moves. Profiles may be of any number of languages; the side of the join
-is broadcast only if it is small by count of its bytes.
+Profiles are built by aggregation and may be of any number of languages. If they are small by count of their bytes they
+are broadcast, and a text's grams are looked up where the text is read; else its grams meet them by join. Either way each
+text's sums are combined before the shuffle, so about one row per text and language moves.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from voxgauge.functions.batch import text_pieces
 from voxgauge.functions.text import col, long_enough
 from voxgauge.operators.joins import BROADCAST_BYTES, counted_bytes
 
@@ -41,16 +47,78 @@ def build_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
     return top.withColumn("share", share).select("lang", "gram", (F.col("share") - floor).alias("weight"))
 
 
+def _gram_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Overlapping trigrams of the texts as numbers, 21 bits per character, and the place of each one's text."""
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+    chars = np.frombuffer("".join(pc.fill_null(texts, "").to_pylist()).encode("utf-32-le"), "<u4").astype(np.int64)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    inside = text[:-2] == text[2:]
+    return ((chars[:-2] << 42) | (chars[1:-1] << 21) | chars[2:])[inside], text[:-2][inside]
+
+
+#: Sums of text and language, and weights looked up, that a task holds at once.
+HELD_SUMS, HELD_WEIGHTS = 1 << 20, 1 << 22
+
+
+def _sums_in_place(profiles: DataFrame, text: Column) -> Column | None:
+    """Language and weight of the grams of each text, added up; None if the profiles, which must be small, have null weights."""
+    rows = profiles.where("lang is not null").select("lang", "gram", "weight").toArrow().combine_chunks()
+    rows = rows.filter(pc.fill_null(pc.equal(pc.utf8_length(rows["gram"]), 3), False)).combine_chunks()
+    if not rows.num_rows or rows["weight"].null_count:
+        return None
+    languages = rows["lang"].combine_chunks().unique()
+    codes = _gram_codes(rows["gram"].combine_chunks())[0]
+    order = np.argsort(codes, kind="stable")
+    grams, begin, width = np.unique(codes[order], return_index=True, return_counts=True)
+    language = pc.index_in(rows["lang"].combine_chunks(), languages).to_numpy(zero_copy_only=False)[order]
+    weight = rows["weight"].to_numpy()[order].astype(np.float64)
+    shared = profiles.sparkSession.sparkContext.broadcast((languages, grams, begin, width, language, weight))
+
+    def added(texts: pa.Array) -> pa.Array:
+        languages, grams, begin, width, language, weight = shared.value
+        n = len(languages)
+        sums, times = np.zeros(len(texts) * n), np.zeros(len(texts) * n, np.int64)
+        code, text = _gram_codes(texts)
+        at = np.minimum(np.searchsorted(grams, code), len(grams) - 1)
+        hit = grams[at] == code
+        at, text = at[hit], text[hit]
+        ends = np.cumsum(width[at])
+        for part in np.split(np.arange(len(at)), np.searchsorted(ends, np.arange(HELD_WEIGHTS, ends[-1] if len(ends) else 0, HELD_WEIGHTS))):
+            k = width[at[part]]
+            entry = np.repeat(begin[at[part]] - np.cumsum(k) + k, k) + np.arange(k.sum())
+            cell = np.repeat(text[part], k) * n + language[entry]
+            sums += np.bincount(cell, weight[entry], minlength=len(sums))
+            times += np.bincount(cell, minlength=len(sums))
+        found = np.flatnonzero(times)
+        edges = np.searchsorted(found, np.arange(len(texts) + 1) * n).astype(np.int32)
+        pairs = pa.StructArray.from_arrays([languages.take(pa.array(found % n)), pa.array(sums[found])], ["lang", "weight"])
+        return pa.ListArray.from_arrays(pa.array(edges), pairs)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        most = max(1, HELD_SUMS // len(shared.value[0]))  # texts
+        for batch in batches:
+            yield pa.concat_arrays(
+                [added(p.slice(i, most)) for p in text_pieces(batch) for i in range(0, max(len(p), 1), most)]
+            )
+
+    pair = T.StructType([T.StructField("lang", profiles.schema["lang"].dataType), T.StructField("weight", T.DoubleType())])
+    return F.arrow_udf(run, T.ArrayType(pair))(F.lower(text))
+
+
 def language_scores(df: DataFrame, profiles: DataFrame, keys: list[str], text: str = "text_clean") -> DataFrame:
     """``keys``, ``language`` and ``score``: each key's best language, the sum of count times weight over its grams.
 
     Equal sums (to six digits) go to the lower code. A text without a gram of any profile has neither.
     """
-    # A language's weights of one gram side by side, so that a gram of the text stays one row.
-    weights = profiles.groupBy("gram").agg(F.collect_list(F.struct("lang", "weight")).alias("weights"))
-    grams = df.select(*keys, F.explode_outer(trigrams(text)).alias("gram"))
     small = counted_bytes(profiles) <= BROADCAST_BYTES
-    found = grams.join(F.broadcast(weights) if small else weights, "gram", "left").select(*keys, F.explode_outer("weights").alias("w"))
+    in_place = _sums_in_place(profiles, col(text)) if small else None
+    if in_place is not None:
+        found = df.select(*keys, F.explode_outer(in_place).alias("w"))
+    else:
+        # A language's weights of one gram side by side, so that a gram of the text stays one row.
+        weights = profiles.groupBy("gram").agg(F.collect_list(F.struct("lang", "weight")).alias("weights"))
+        grams = df.select(*keys, F.explode_outer(trigrams(text)).alias("gram"))
+        found = grams.join(F.broadcast(weights) if small else weights, "gram", "left").select(*keys, F.explode_outer("weights").alias("w"))
     sums = found.groupBy(*keys, F.col("w.lang").alias("lang")).agg(F.sum("w.weight").alias("s"))
     order = F.struct((-F.round("s", 6)).alias("place"), "lang", "s")
     best = sums.groupBy(*keys).agg(F.min(F.when(F.col("lang").isNotNull(), order)).alias("best"))

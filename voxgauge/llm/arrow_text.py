@@ -7,6 +7,7 @@ the class or none, so runs of bytes are runs of characters.
 from __future__ import annotations
 
 import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +15,8 @@ import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+#: Name under which a worker process keeps things from task to task (functions that travel by value lose globals).
+WORKER_STORE = "voxgauge_worker_store"
 
 
 def _table(separators: list[int]) -> np.ndarray:
@@ -42,10 +45,15 @@ def give_back() -> None:
         pass
 
 
-def giving_back(run: BatchMap) -> BatchMap:
-    """``run``, which ends a task by giving back what it freed: Spark keeps its Python workers from stage to stage."""
+def giving_back(run: BatchMap, keeps: bool = False) -> BatchMap:
+    """``run``, which ends a task by giving back what it freed: Spark keeps its Python workers from stage to stage.
+
+    What another operator's tasks have kept in the worker goes before it begins, unless ``run`` ``keeps`` it for its own use.
+    """
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            sys.modules.pop(WORKER_STORE, None)
         yield from run(batches)
         give_back()
 

@@ -26,6 +26,8 @@ from voxgauge.llm.shared import broadcast_if_small, fresh_name
 BUCKETS = 4096
 ORDERS = (2, 3, 4)
 CENTROIDS = 4
+#: Texts handled at once, and their bytes: each text takes a line of ``BUCKETS`` numbers, however short it is.
+TEXT_ROWS, TEXT_BYTES = 128, 1 << 18
 #: Texts per language that clustering and radii are fitted on.
 FIT_ROWS = 1000
 #: A centroid of a smaller share of the fitted texts is put aside.
@@ -96,7 +98,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for lo, hi, data, offsets in byte_slices(batch.column(0)):
+            for lo, hi, data, offsets in byte_slices(batch.column(0), TEXT_BYTES, TEXT_ROWS):
                 total += (gram_counts(data, offsets) > 0).sum(axis=0)
                 rows += hi - lo
         cell = np.append(np.arange(BUCKETS), -1)
@@ -183,7 +185,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROID
             return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(x), whole)), v], ["lang", "whole", "v"])
 
         for batch in batches:
-            for lo, hi, data, offsets in byte_slices(batch.column(1)):
+            for lo, hi, data, offsets in byte_slices(batch.column(1), TEXT_BYTES, TEXT_ROWS):
                 lang, k, rounds = (batch.column(c).slice(lo, hi - lo) for c in (0, 2, 3))
                 yield rows(lang, True, vectors(data, offsets, idf))
                 k, rounds = np.asarray(k), np.asarray(rounds)
@@ -243,33 +245,31 @@ def predict(docs: DataFrame, model: LanguageModel, radius_share: float = RADIUS_
         known = len(languages)
         floors = np.array([least[x] * radius_share for x in languages])  # by language and size
         for batch in batches:
-            n = batch.num_rows
-            best, near, share, size = np.zeros(n, np.int64), np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
-            for lo, hi, data, offsets in byte_slices(batch.column(text_at)):
-                if not known:
-                    continue
-                x = vectors(data, offsets, idf)
-                cosine, size[lo:hi] = x @ centroids.T, size_of(x)
-                by_language = np.stack([cosine[:, owner == k].max(axis=1) for k in range(known)], axis=1)
-                by_language = np.clip(by_language.astype(np.float64), 0, 1)
-                k, row = by_language.argmax(axis=1), np.arange(hi - lo)
-                first = by_language[row, k]
-                by_language[row, k] = 0
-                total = first + by_language.max(axis=1)
-                best[lo:hi], near[lo:hi] = k, first
-                share[lo:hi] = first if known == 1 else np.where(total > 0, first / np.maximum(total, 1e-12), 0)
-            judged = np.asarray(batch.column(letters_at)) & (known > 0)
-            labels = np.array([*languages, "und"], dtype=object)[np.where(judged, best, known)]
-            far = ~judged | (near < (floors[best, size] if known else 1))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c) for c in kept],
-                    pa.array(labels, pa.string()),
-                    pa.array(np.where(judged, share, 0.0)),
-                    pa.array(np.where(judged, near, 0.0)),
-                    pa.array(far),
-                ],
-                [*kept, *names],
-            )
+            for lo, hi, data, offsets in byte_slices(batch.column(text_at), TEXT_BYTES, TEXT_ROWS):
+                n = hi - lo
+                best, near, share, size = np.zeros(n, np.int64), np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
+                if known:
+                    x = vectors(data, offsets, idf)
+                    cosine, size = x @ centroids.T, size_of(x)
+                    by_language = np.stack([cosine[:, owner == k].max(axis=1) for k in range(known)], axis=1)
+                    by_language = np.clip(by_language.astype(np.float64), 0, 1)
+                    best, row = by_language.argmax(axis=1), np.arange(n)
+                    near = by_language[row, best]
+                    by_language[row, best] = 0
+                    total = near + by_language.max(axis=1)
+                    share = near if known == 1 else np.where(total > 0, near / np.maximum(total, 1e-12), 0)
+                judged = np.asarray(batch.column(letters_at).slice(lo, n)) & (known > 0)
+                labels = np.array([*languages, "und"], dtype=object)[np.where(judged, best, known)]
+                far = ~judged | (near < (floors[best, size] if known else 1))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(c).slice(lo, n) for c in kept],
+                        pa.array(labels, pa.string()),
+                        pa.array(np.where(judged, share, 0.0)),
+                        pa.array(np.where(judged, near, 0.0)),
+                        pa.array(far),
+                    ],
+                    [*kept, *names],
+                )
 
     return rows.mapInArrow(giving_back(judge), schema)

@@ -205,7 +205,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | Non
                     [c.split()[0] for c in PIECE_SCHEMA.split(", ")],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(giving_back(cut), PIECE_SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(giving_back(cut, keeps=True), PIECE_SCHEMA)
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

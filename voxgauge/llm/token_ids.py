@@ -17,7 +17,7 @@ import types
 
 import numpy as np
 
-from voxgauge.llm.arrow_text import WordHasher, spread
+from voxgauge.llm.arrow_text import WORKER_STORE, WordHasher, spread
 
 #: Distinct pieces whose ids one worker keeps (about 100 bytes each); then it starts anew. Never changes ids.
 KEPT_PIECES = 500_000
@@ -157,8 +157,8 @@ class WordEncoder:
 
 
 def worker_encoder(path: str) -> WordEncoder:
-    """The encoder of this worker process, kept from task to task (functions that travel by value lose globals)."""
-    store = sys.modules.setdefault("voxgauge_worker_store", types.ModuleType("voxgauge_worker_store"))
+    """The encoder of this worker process, kept from task to task."""
+    store = sys.modules.setdefault(WORKER_STORE, types.ModuleType(WORKER_STORE))
     kept = store.__dict__.setdefault("encoders", {})
     if path not in kept:
         kept[path] = WordEncoder(path)

@@ -11,7 +11,7 @@ import pytest
 pytest.importorskip("voxgauge.llm.language_id")
 
 from voxgauge.llm import language_id
-from voxgauge.llm.arrow_text import WORKER_STORE, giving_back
+from voxgauge.llm.arrow_text import WORKER_STORE, WordHasher, giving_back
 
 
 def spied(monkeypatch, kind, n):
@@ -53,7 +53,29 @@ def test_slices_change_no_vector():
         assert (part == whole[lo:hi]).all()
 
 
+def test_a_text_is_judged_alike_in_any_company(spark):
+    texts = [(i, " ".join(f"word{(i * 7 + j) % 50}" for j in range(5 + i % 30)), "en" if i % 2 else "fr") for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string").coalesce(1)
+    judged = language_id.predict(docs, language_id.fit(docs))
+    many = sorted(judged.collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        assert sorted(judged.select("*").collect()) == many
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_kept_things_go_when_another_operator_begins(monkeypatch):
     monkeypatch.setitem(sys.modules, WORKER_STORE, types.ModuleType(WORKER_STORE))
     assert list(giving_back(iter, keeps=True)(iter([1, 2]))) == [1, 2] and WORKER_STORE in sys.modules
     assert list(giving_back(iter)(iter([1, 2]))) == [1, 2] and WORKER_STORE not in sys.modules
+
+
+def test_a_hasher_is_as_large_as_its_slices():
+    hasher, starts, ends = WordHasher(), np.array([0, 40]), np.array([30, 70])
+    data = np.frombuffer(b"words and more words, " * 20_000, np.uint8)
+    few = hasher(data[:100], starts, ends)
+    assert len(hasher._up) <= WordHasher.STEP
+    hasher(data, np.array([0]), np.array([len(data)]))
+    assert len(data) < len(hasher._up) <= len(data) + WordHasher.STEP
+    assert (hasher(data[:100], starts, ends) == few).all() and (WordHasher()(data, starts, ends) == few).all()

@@ -52,8 +52,8 @@ def giving_back(run: BatchMap, keeps: bool = False) -> BatchMap:
     """
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not keeps:
-            sys.modules.pop(WORKER_STORE, None)
+        if not keeps and sys.modules.pop(WORKER_STORE, None):
+            give_back()
         yield from run(batches)
         give_back()
 
@@ -114,13 +114,16 @@ class WordHasher:
     """64-bit hashes of words: a polynomial over random byte values modulo 2**64, from prefix sums, then mixed."""
 
     BASE = 0x9E3779B97F4A7C15
+    #: Powers are kept for the longest slice so far, rounded up to so many bytes.
+    STEP = 1 << 16
 
     def __init__(self, seed: int = 1, lower: bool = True):
         values = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self._values = values[LOWER] if lower else values
-        self._grow(SLICE_BYTES + 1)
+        self._grow(1)
 
     def _grow(self, n: int) -> None:
+        n = -(-n // self.STEP) * self.STEP
         self._up = _powers(self.BASE, n)
         self._down = _powers(pow(self.BASE, -1, 1 << 64), n)
 

@@ -250,7 +250,9 @@ def predict(docs: DataFrame, model: LanguageModel, radius_share: float = RADIUS_
                 best, near, share, size = np.zeros(n, np.int64), np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
                 if known:
                     x = vectors(data, offsets, idf)
-                    cosine, size = x @ centroids.T, size_of(x)
+                    filled = np.zeros((TEXT_ROWS, BUCKETS), np.float32)  # a product of few lines adds up in another order
+                    filled[:n] = x
+                    cosine, size = (filled @ centroids.T)[:n], size_of(x)
                     by_language = np.stack([cosine[:, owner == k].max(axis=1) for k in range(known)], axis=1)
                     by_language = np.clip(by_language.astype(np.float64), 0, 1)
                     best, row = by_language.argmax(axis=1), np.arange(n)

@@ -48,8 +48,8 @@ BUCKET_ROWS = 2000
 BLOCK_BYTES = 8 << 20
 #: Leaders of a block in each round after the first; in the last (None) all lead that are not of the largest component.
 LEADERS = (8, None)
-#: Texts handled at once; their number fits the bits that keep them apart.
-_SLICE_ROWS = 1024
+#: Texts handled at once, and their bytes; their number fits the bits that keep them apart.
+_SLICE_ROWS, _SLICE_BYTES = 1024, 1 << 18
 
 
 def _gamma_quantiles(n: int) -> np.ndarray:
@@ -82,7 +82,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, total, texts = WordHasher(), np.zeros(CELLS, np.int64), 0
         for batch in batches:
-            for lo, hi, data, offsets in byte_slices(batch.column(0)):
+            for lo, hi, data, offsets in byte_slices(batch.column(0), _SLICE_BYTES):
                 words, bounds = _words(data, offsets, hasher)
                 doc = np.repeat(np.arange(hi - lo), np.diff(bounds))
                 total += np.bincount(np.unique(doc * CELLS + _cell(words)) % CELLS, minlength=CELLS)
@@ -156,7 +156,7 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int =
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            for lo, hi, data, offsets in byte_slices(batch.column(2), rows=_SLICE_ROWS):
+            for lo, hi, data, offsets in byte_slices(batch.column(2), _SLICE_BYTES, _SLICE_ROWS):
                 keys, weights, starts, digest = weighted_shingles(data, offsets, idf, hasher)
                 full = np.diff(starts) > 0
                 total = np.zeros(hi - lo)
@@ -196,13 +196,13 @@ def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: np.nd
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            for lo, hi, data, offsets in byte_slices(batch.column(2), rows=_SLICE_ROWS):
+            for lo, hi, data, offsets in byte_slices(batch.column(2), _SLICE_BYTES, _SLICE_ROWS):
                 other = pa.array(batch.column(3).slice(lo, hi - lo))
                 keys, weights, starts, _ = weighted_shingles(data, offsets, idf, hasher)
                 total, shared = np.zeros(hi - lo), np.zeros(hi - lo)
                 full = np.diff(starts) > 0
                 total[full] += np.add.reduceat(weights.astype(np.float64), starts[:-1][full]) if len(keys) else 0
-                for lo2, hi2, data2, offsets2 in byte_slices(other, rows=_SLICE_ROWS):
+                for lo2, hi2, data2, offsets2 in byte_slices(other, _SLICE_BYTES, _SLICE_ROWS):
                     keys2, weights2, starts2, _ = weighted_shingles(data2, offsets2, idf, hasher)
                     keys2 = keys2 + (np.uint64(lo2) << np.uint64(54))
                     full2 = np.diff(starts2) > 0
@@ -227,7 +227,7 @@ def shingle_sets(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, mask = WordHasher(), np.uint64((1 << 54) - 1)
         for batch in batches:
-            for lo, hi, data, offsets in byte_slices(batch.column(1), rows=_SLICE_ROWS):
+            for lo, hi, data, offsets in byte_slices(batch.column(1), _SLICE_BYTES, _SLICE_ROWS):
                 keys, weights, starts, _ = weighted_shingles(data, offsets, idf, hasher)
                 at = pa.array((starts * 8).astype(np.int32)).buffers()[1]
                 held = ((keys & mask).tobytes(), weights.astype(np.float64).tobytes())

@@ -29,8 +29,8 @@ from voxgauge.llm.shared import broadcast_if_small, stored
 from voxgauge.llm.token_ids import default_tokenizer, worker_encoder
 
 CAPACITY = 1024
-#: Bytes of text that are encoded at once.
-TEXT_BYTES = 1 << 18
+#: Bytes of text that are encoded at once, and pieces that are placed at once.
+TEXT_BYTES, PLACED_ROWS = 1 << 18, 1000
 
 PIECE_SCHEMA = "part int, rank long, doc_id long, piece int, start long, length int, ids binary"
 
@@ -222,7 +222,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     joined = pieces.join(broadcast_if_small(bases), ["part", "length"])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, PLACED_ROWS) for b in batches for lo in range(0, b.num_rows, PLACED_ROWS)):
             length = batch.column("length").to_numpy()
             rank = batch.column("rank").to_numpy() + batch.column("base").to_numpy()
             sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)

@@ -79,3 +79,21 @@ def test_a_hasher_is_as_large_as_its_slices():
     hasher(data, np.array([0]), np.array([len(data)]))
     assert len(data) < len(hasher._up) <= len(data) + WordHasher.STEP
     assert (hasher(data[:100], starts, ends) == few).all() and (WordHasher()(data, starts, ends) == few).all()
+
+
+def test_pipeline_sends_few_texts_at_once_and_resets_the_session(spark, monkeypatch):
+    import corpus_pipeline as pipeline
+
+    seen = []
+
+    def stage(spark, docs, sf_dir):
+        sizes = docs.mapInArrow(lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches), "n long")
+        seen.append(max(r.n for r in sizes.collect()))
+        return docs
+
+    docs = spark.range(3000).selectExpr("id as doc_id", "'a text' as text").coalesce(1)
+    monkeypatch.setattr(pipeline, "documents", lambda spark, sf_dir: docs)
+    monkeypatch.setattr(pipeline, "STAGES", [(name, pipeline.small_batches(stage)) for name, _ in pipeline.STAGES[:2]])
+    before = spark.conf.get(pipeline.BATCH_ROWS)
+    assert pipeline.run(spark, "").count() == 3000
+    assert seen == [int(pipeline.TEXT_ROWS)] * 2 and spark.conf.get(pipeline.BATCH_ROWS) == before

@@ -40,7 +40,15 @@ def tables(tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", ["tfidf_neighbours", "tfidf_topk"])
+@pytest.mark.parametrize("name", ["tfidf_neighbours", "tfidf_topk", "knn_top5", "relevance_gate"])
 def test_every_row_asks(spark, tables, name):
     assert {r.question_id for r in QUERIES[name](spark, tables).select("question_id").collect()} == set(IDS)
     assert "% 100" not in SQL.get(name, "")
+
+
+def test_summaries_count_every_question(spark, tables):
+    swept = QUERIES["threshold_sweep"](spark, tables).orderBy("threshold").collect()
+    ranges = QUERIES["distance_ranges"](spark, tables).collect()
+    assert swept[-1].kept_on_topic + swept[-1].kept_off_topic == N  # 0.75 keeps all of these
+    assert sum(r.n for r in ranges) == N
+    assert not any("% 100" in SQL[name] for name in ("threshold_sweep", "distance_ranges"))

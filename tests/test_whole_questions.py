@@ -40,7 +40,7 @@ def tables(tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", ["tfidf_neighbours", "tfidf_topk", "knn_top5", "relevance_gate"])
+@pytest.mark.parametrize("name", ["tfidf_neighbours", "tfidf_topk", "knn_top5", "relevance_gate", "knn_squared_distance"])
 def test_every_row_asks(spark, tables, name):
     assert {r.question_id for r in QUERIES[name](spark, tables).select("question_id").collect()} == set(IDS)
     assert "% 100" not in SQL.get(name, "")

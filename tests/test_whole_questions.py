@@ -52,3 +52,11 @@ def test_summaries_count_every_question(spark, tables):
     assert swept[-1].kept_on_topic + swept[-1].kept_off_topic == N  # 0.75 keeps all of these
     assert sum(r.n for r in ranges) == N
     assert not any("% 100" in SQL[name] for name in ("threshold_sweep", "distance_ranges"))
+
+
+def test_every_row_asks_the_approximate_search(spark, tables, tmp_path):
+    table = pq.read_table(f"{tables}/embeddings.parquet")
+    ids = [25 * i + 25 * (i % 4 == 3) for i in range(1, N + 1)]  # its cells are around ids divisible by 25; some ids come twice
+    pq.write_table(table.set_column(0, "vec_id", pa.array(ids, pa.int64())), tmp_path / "embeddings.parquet")
+    found = {r.question_id for r in QUERIES["knn_approximate"](spark, str(tmp_path)).collect()}
+    assert any(i % 100 for i in found) and "% 100" not in SQL["knn_approximate"]

@@ -40,7 +40,7 @@ def tables(tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", ["tfidf_neighbours", "tfidf_topk", "knn_top5", "relevance_gate", "knn_squared_distance"])
+@pytest.mark.parametrize("name", ["tfidf_neighbours", "tfidf_topk", "knn_top5", "relevance_gate", "knn_squared_distance", "knn_filtered", "knn_ivf", "grounded_answers"])
 def test_every_row_asks(spark, tables, name):
     assert {r.question_id for r in QUERIES[name](spark, tables).select("question_id").collect()} == set(IDS)
     assert "% 100" not in SQL.get(name, "")
@@ -60,3 +60,23 @@ def test_every_row_asks_the_approximate_search(spark, tables, tmp_path):
     pq.write_table(table.set_column(0, "vec_id", pa.array(ids, pa.int64())), tmp_path / "embeddings.parquet")
     found = {r.question_id for r in QUERIES["knn_approximate"](spark, str(tmp_path)).collect()}
     assert any(i % 100 for i in found) and "% 100" not in SQL["knn_approximate"]
+
+
+def test_every_case_is_scored(spark, tables):
+    """Blank questions (label 9) are cases too, those without an annotation (label 7) are not."""
+    cases = {i for n, i in enumerate(IDS) if n % 10 != 7}
+    assert {r.question_id for r in QUERIES["precision_mrr"](spark, tables).collect()} == cases
+    for name in ("eval_by_category", "evaluation_run"):
+        assert [r.n for r in QUERIES[name](spark, tables).collect() if r.overall] == [len(cases)]
+    assert QUERIES["no_answer_accuracy"](spark, tables).first().n == sum(n % 10 in (0, 9) for n in range(N))
+
+
+def test_prompts_of_every_answer(spark, tables):
+    answered = QUERIES["grounded_answers"](spark, tables).where("status = 'success'")
+    told = {r.question_id for r in answered.collect()}
+    assert told and {r.question_id for r in QUERIES["prompts"](spark, tables).collect()} == told
+    assert QUERIES["judge_messages"](spark, tables).count() > 0
+
+
+def test_no_sql_has_a_query_set():
+    assert not [name for name, sql in SQL.items() if "_id % 100 = 0" in sql]

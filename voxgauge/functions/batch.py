@@ -41,7 +41,9 @@ def batch_udf(fn: BatchFunction, return_type: str):
 
         held: list[pa.Array] = []
         for result in fn(pieces()):
-            held.append(pa.Array.from_pandas(result, mask=result.isnull(), type=arrow))
+            # series such as Int32 convert themselves, with their nulls
+            mask = None if isinstance(result.dtype, pd.api.extensions.ExtensionDtype) else result.isnull()
+            held.append(pa.Array.from_pandas(result, mask=mask, type=arrow))
             if len(held[-1]) != sizes[0][len(held) - 1]:
                 raise ValueError(f"{sizes[0][len(held) - 1]} texts gave {len(held[-1])} results")
             if len(held) == len(sizes[0]):
